@@ -36,8 +36,8 @@ def hits(df: DataFrame, text: str | Column = "text", categories=None, output_fie
 
 def hits_long(df: DataFrame, text: str | Column = "text", categories=None) -> DataFrame:
     """One row per valid hit: all input columns plus start, category, raw and end."""
-    out = hits(df, text, categories, "__mw_hits").withColumn(
-        "__mw_hit", F.explode("__mw_hits")
+    out = with_matches(df, rows.as_column(text), categories).withColumn(
+        "__mw_hit", F.explode(hits_in_order(F.col(TEXT), categories))
     )
     return out.select(
         *[c for c in out.columns if not c.startswith("__mw_")],

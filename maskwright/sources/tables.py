@@ -12,7 +12,7 @@ SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 def input_bytes(df: DataFrame) -> int:
     """Size of a scan as the optimizer knows it: file sizes, without reading any file."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread(df: DataFrame) -> DataFrame:

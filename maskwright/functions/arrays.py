@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 256
 
 
+def evaluated_once(df: DataFrame, columns: Column | dict[str, Column]) -> DataFrame:
+    """Add columns (or a struct's fields) that no later filter can copy.
+
+    Spark pushes a filter below a projection by putting the projected expressions into the
+    filter's condition, however costly they are, and then evaluates them in both places. It
+    never does that with the output of a generator, so the columns come from one that gives
+    exactly one row. Filters on the other columns still reach the scan.
+    """
+    record = (
+        F.struct(*[c.alias(name) for name, c in columns.items()])
+        if isinstance(columns, dict)
+        else columns
+    )
+    return df.select("*", F.inline(F.array(record)))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it as often as ``body`` likes."""
     return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))

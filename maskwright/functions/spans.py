@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.functions.arrays import BLOCK, bind, running
+from maskwright.functions.arrays import BLOCK, bind, evaluated_once, running
 from maskwright.functions.catalogue import CATEGORIES, GATES, Category, wanted
 
 HIT_TYPE = "struct<start:int,ord:int,category:string,raw:string,end:int>"
@@ -32,17 +32,16 @@ def with_matches(df: DataFrame, text: Column, categories=None) -> DataFrame:
     gates = {c.gate: f"__mw_gate_{c.gate}" for c in cats}
     body = F.col(TEXT)
     none = F.array().cast("array<string>")
-    return (
-        df.withColumn(TEXT, text)
-        .withColumns({name: GATES[gate](body) for gate, name in gates.items()})
-        .withColumns(
-            {
-                match_column(c): F.when(F.col(gates[c.gate]), c.matches(body)).otherwise(none)
-                for c in cats
-            }
-        )
-        .drop(*gates.values())
+    gated = df.withColumn(TEXT, text).withColumns(
+        {name: GATES[gate](body) for gate, name in gates.items()}
     )
+    if not cats:
+        return gated
+    found = {
+        match_column(c): F.when(F.col(gates[c.gate]), c.matches(body)).otherwise(none)
+        for c in cats
+    }
+    return evaluated_once(gated, found).drop(*gates.values())
 
 
 def located(text: Column, category: Category, matches: Column) -> Column:

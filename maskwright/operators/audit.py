@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions import rows
-from maskwright.functions.arrays import bind
+from maskwright.functions.arrays import bind, evaluated_once
 from maskwright.functions.catalogue import MAX_SAMPLES, PREEXISTING_RE, wanted
 from maskwright.operators.detect import count_columns, detect
 from maskwright.operators.restore import with_vault
@@ -47,9 +47,8 @@ def summarise_entities(
     listed = F.coalesce(rows.as_column(entities), F.array())
     if categories:
         listed = F.filter(listed, lambda e: e["category"].isin(*categories))
-    out = df.withColumn("__mw_list", listed).withColumn(
-        "__mw_counts", category_counts(F.col("__mw_list"))
-    )
+    out = df.withColumn("__mw_list", listed)
+    out = evaluated_once(out, {"__mw_counts": category_counts(F.col("__mw_list"))})
     found = F.col("__mw_counts")
     if not include_samples:
         found = F.transform(

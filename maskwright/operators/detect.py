@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions import rows
-from maskwright.functions.catalogue import CATEGORIES, MAX_SAMPLES, Category, wanted
+from maskwright.functions.arrays import bind, evaluated_once
+from maskwright.functions.catalogue import MAX_SAMPLES, Category, wanted
 from maskwright.functions.spans import TEXT, hits_in_order, match_column, with_matches
 
+FOUND = "__mw_found"
 FOUND_TYPE = "struct<category:string,count:int,samples:array<string>>"
 
 
@@ -16,29 +18,24 @@ def _working(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("__mw_")]
 
 
-def _with_valid(df: DataFrame, text: Column, categories) -> DataFrame:
-    """Match arrays after checksums. Hits of different categories may overlap here."""
-    df = with_matches(df, text, categories)
-    checked = {
-        match_column(c): c.keep_valid(F.col(match_column(c)))
-        for c in wanted(categories)
-        if c.check is not None
-    }
-    return df.withColumns(checked) if checked else df
+def _valid(category: Category) -> Column:
+    """Matches of a category after its checksum. Those of different categories may overlap."""
+    return category.keep_valid(F.col(match_column(category)))
 
 
 def hits(df: DataFrame, text: str | Column = "text", categories=None, output_field="hits"):
     """Add all valid hits with positions, overlapping ones included, in text order."""
     out = with_matches(df, rows.as_column(text), categories)
-    out = out.withColumn(output_field, hits_in_order(F.col(TEXT), categories))
+    out = evaluated_once(out, {"__mw_hits": hits_in_order(F.col(TEXT), categories)})
+    out = out.withColumn(output_field, F.col("__mw_hits"))
     return out.drop(*_working(out))
 
 
 def hits_long(df: DataFrame, text: str | Column = "text", categories=None) -> DataFrame:
     """One row per valid hit: all input columns plus start, category, raw and end."""
-    out = with_matches(df, rows.as_column(text), categories).withColumn(
-        "__mw_hit", F.explode(hits_in_order(F.col(TEXT), categories))
-    )
+    out = with_matches(df, rows.as_column(text), categories)
+    out = evaluated_once(out, {"__mw_hits": hits_in_order(F.col(TEXT), categories)})
+    out = out.withColumn("__mw_hit", F.explode("__mw_hits"))
     return out.select(
         *[c for c in out.columns if not c.startswith("__mw_")],
         F.col("__mw_hit.category").alias("category"),
@@ -49,29 +46,33 @@ def hits_long(df: DataFrame, text: str | Column = "text", categories=None) -> Da
 
 
 def _found(category: Category, include_samples: bool) -> Column:
-    matches = F.col(match_column(category))
-    samples = (
-        F.slice(matches, 1, MAX_SAMPLES)
-        if include_samples
-        else F.array().cast("array<string>")
-    )
-    return F.struct(
-        F.lit(category.name).alias("category"),
-        F.size(matches).alias("count"),
-        samples.alias("samples"),
-    )
-
-
-def found_pii(categories, include_samples: bool) -> tuple[Column, Column]:
-    """Found categories in catalogue order, and the total count, from the working columns."""
+    def record(matches: Column) -> Column:
+        samples = (
+            F.slice(matches, 1, MAX_SAMPLES)
+            if include_samples
+            else F.array().cast("array<string>")
+        )
+        return F.struct(
+            F.lit(category.name).alias("category"),
+            F.size(matches).alias("count"),
+            samples.alias("samples"),
+        )
+
+    return bind(_valid(category), record)
+
+
+def with_found(
+    df: DataFrame, text: Column, categories=None, include_samples: bool = True
+) -> DataFrame:
+    """Add the text and its found categories, in catalogue order, as working columns."""
+    out = with_matches(df, text, categories)
     cats = wanted(categories)
-    if not cats:
-        return F.array().cast(f"array<{FOUND_TYPE}>"), F.lit(0)
-    found = F.filter(
-        F.array(*[_found(c, include_samples) for c in cats]), lambda f: f["count"] > 0
-    )
-    total = sum((F.size(match_column(c)) for c in cats), F.lit(0))
-    return found, total
+    found = F.array().cast(f"array<{FOUND_TYPE}>")
+    if cats:
+        any_match = sum((F.size(match_column(c)) for c in cats), F.lit(0)) > 0
+        records = F.array(*[_found(c, include_samples) for c in cats])
+        found = F.when(any_match, F.filter(records, lambda f: f["count"] > 0)).otherwise(found)
+    return evaluated_once(out, {FOUND: found})
 
 
 def detect(
@@ -83,10 +84,10 @@ def detect(
     on_error: str = "fail",
 ) -> DataFrame:
     """Add ``found_pii`` (category, count, up to 3 samples), ``total_count`` and ``source``."""
-    out = _with_valid(df, rows.as_column(text), categories)
-    found, total = found_pii(categories, include_samples)
+    out = with_found(df, rows.as_column(text), categories, include_samples)
+    total = F.aggregate(FOUND, F.lit(0), lambda n, f: n + f["count"])
     output = F.struct(
-        found.alias("found_pii"),
+        F.col(FOUND).alias("found_pii"),
         total.alias("total_count"),
         F.lit(rows.SOURCE).alias("source"),
     )
@@ -101,10 +102,8 @@ def count_columns(
 ) -> DataFrame:
     """Add one count column per wanted category; the cheapest form, for aggregation."""
     cats = wanted(categories)
-    out = _with_valid(df, rows.as_column(text), categories)
-    out = out.withColumns(
-        {f"{prefix}{c.name.lower()}": F.size(match_column(c)) for c in cats}
-    )
+    out = with_matches(df, rows.as_column(text), categories)
+    out = out.withColumns({f"{prefix}{c.name.lower()}": F.size(_valid(c)) for c in cats})
     return out.drop(*_working(out))
 
 
@@ -115,12 +114,8 @@ def detect_counts(
 
     The counts of a row are known in the row, so nothing is shuffled.
     """
-    cats = wanted(categories) or CATEGORIES[:0]
-    out = _with_valid(df, rows.as_column(text), categories)
-    found, _ = found_pii(categories, include_samples=False)
-    out = out.select(*key, F.explode(found).alias("f")) if cats else out.select(
-        *key, F.explode(F.array().cast(f"array<{FOUND_TYPE}>")).alias("f")
-    )
+    out = with_found(df, rows.as_column(text), categories, include_samples=False)
+    out = out.select(*key, F.explode(FOUND).alias("f"))
     return out.select(
         *key,
         F.col("f.category").alias("category"),
@@ -132,10 +127,9 @@ def detect_samples(
     df: DataFrame, key: list[str], text: str | Column = "text", categories=None
 ) -> DataFrame:
     """First three raw matches per row and category: key, category, rank, sample."""
-    out = _with_valid(df, rows.as_column(text), categories)
-    found, _ = found_pii(categories, include_samples=True)
+    out = with_found(df, rows.as_column(text), categories)
     return (
-        out.select(*key, F.explode(found).alias("f"))
+        out.select(*key, F.explode(FOUND).alias("f"))
         .select(*key, "f.category", F.posexplode("f.samples").alias("rank", "sample"))
         .withColumn("rank", (F.col("rank") + 1).cast("bigint"))
     )

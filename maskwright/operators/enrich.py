@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from maskwright.functions import placeholders, rows
 from maskwright.functions.messages import resolve_model
-from maskwright.functions.spans import TEXT, splice
-from maskwright.operators.mask import MAPPING_ID, SPANS, with_spans
-from maskwright.operators.restore import PAIRS, PUT_BACK, RESTORE_TEXT, restored
+from maskwright.functions.spans import TEXT
+from maskwright.operators.mask import MAPPING_ID, MASKED, SPANS, with_spans
+from maskwright.operators.restore import PUT_BACK, RESTORE_TEXT, UNKNOWN, restored
 
-MASKED = "__mw_masked_prompt"
 MODEL = "__mw_model"
 
 
@@ -22,11 +21,7 @@ def _prepared(df, text, key, workspace, model, custom_model) -> DataFrame:
     out = df.withColumns(
         {MAPPING_ID: rows.mapping_id(space, key), MODEL: resolve_model(model, custom_model)}
     )
-    out = with_spans(out, text)
-    return out.withColumn(MASKED, splice(F.col(TEXT), F.col(SPANS))).drop(
-        *[c for c in out.columns if c.startswith("__mw_")
-          and c not in (MAPPING_ID, MODEL, TEXT, SPANS)]
-    )
+    return with_spans(out, text)
 
 
 def _finished(df: DataFrame, answer: Column, output_field: str, on_error: str) -> DataFrame:
@@ -37,7 +32,7 @@ def _finished(df: DataFrame, answer: Column, output_field: str, on_error: str) -
         F.col(RESTORE_TEXT).alias("masked_response"),
         F.col(MAPPING_ID).alias("mapping_id"),
         F.col(MODEL).alias("model"),
-        placeholders.hallucinated(F.col(PUT_BACK), F.col(PAIRS)).alias("hallucinated"),
+        F.col(UNKNOWN).alias("hallucinated"),
         F.lit(rows.SOURCE).alias("source"),
     )
     problems = [

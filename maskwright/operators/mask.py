@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions import rows
-from maskwright.functions.catalogue import PATTERN_CONFIDENCE, POLICIES
+from maskwright.functions.arrays import bind, evaluated_once
+from maskwright.functions.catalogue import CATEGORIES, PATTERN_CONFIDENCE, POLICIES
 from maskwright.functions.spans import (
     TEXT,
     entities,
     hits_in_order,
+    match_column,
     spans,
     splice,
     with_matches,
 )
 
 SPANS = "__mw_spans"
+MASKED = "__mw_masked"
 MAPPING_ID = "__mw_mapping_id"
 WORKSPACE = "__mw_workspace"
 
@@ -34,9 +37,13 @@ def public_entities(entities_: Column) -> Column:
 
 
 def with_spans(df: DataFrame, text: str | Column) -> DataFrame:
-    """Add the text and its numbered spans as working columns."""
+    """Add the text, its numbered spans and its masked form as working columns."""
     out = with_matches(df, rows.as_column(text))
-    return out.withColumn(SPANS, spans(hits_in_order(F.col(TEXT))))
+    both = bind(
+        spans(hits_in_order(F.col(TEXT))),
+        lambda s: F.struct(s.alias(SPANS), splice(F.col(TEXT), s).alias(MASKED)),
+    )
+    return evaluated_once(out, both).drop(*[match_column(c) for c in CATEGORIES])
 
 
 def mask(
@@ -64,7 +71,7 @@ def mask(
         df.withColumns({MAPPING_ID: rows.mapping_id(space, key), WORKSPACE: space}), text
     )
     output = F.struct(
-        splice(F.col(TEXT), F.col(SPANS)).alias("masked_text"),
+        F.col(MASKED).alias("masked_text"),
         F.col(MAPPING_ID).alias("mapping_id"),
         public_entities(F.col(SPANS)).alias("entities"),
         F.lit(policy).alias("policy"),

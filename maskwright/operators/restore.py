@@ -7,17 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from maskwright.functions import placeholders, rows
+from maskwright.functions.arrays import bind, evaluated_once
 
 RESTORE_TEXT = "__mw_masked_text"
 PAIRS = "__mw_pairs"
 PUT_BACK = "__mw_put_back"
+UNKNOWN = "__mw_unknown"
 
 
 def restored(df: DataFrame, text: Column, pairs: Column) -> DataFrame:
-    """Add masked text, entity pairs and restored text as working columns, each worked out once."""
-    return df.withColumns({RESTORE_TEXT: text, PAIRS: pairs}).withColumn(
-        PUT_BACK, placeholders.restore_text(F.col(RESTORE_TEXT), F.col(PAIRS))
+    """Add masked text, restored text and unknown placeholders as working columns."""
+    out = evaluated_once(df, {RESTORE_TEXT: text, PAIRS: pairs})
+    both = bind(
+        placeholders.restore_text(F.col(RESTORE_TEXT), F.col(PAIRS)),
+        lambda t: F.struct(
+            t.alias(PUT_BACK), placeholders.hallucinated(t, F.col(PAIRS)).alias(UNKNOWN)
+        ),
     )
+    return evaluated_once(out, both)
 
 
 def _emit(
@@ -25,7 +32,7 @@ def _emit(
 ) -> DataFrame:
     output = F.struct(
         F.col(PUT_BACK).alias("restored_text"),
-        placeholders.hallucinated(F.col(PUT_BACK), F.col(PAIRS)).alias("hallucinated"),
+        F.col(UNKNOWN).alias("hallucinated"),
         F.lit(rows.SOURCE).alias("source"),
     )
     empty = (~rows.is_filled(F.col(RESTORE_TEXT)), rows.TEXT_EMPTY)
@@ -128,12 +135,12 @@ def restore_with_mapping(
     if "entities" not in vault.columns:
         vault = grouped_mapping(vault)
     out = df.withColumns(
-        {RESTORE_TEXT: rows.as_column(text), "__mw_given_id": rows.as_column(mapping_id)}
+        {"__mw_body": rows.as_column(text), "__mw_given_id": rows.as_column(mapping_id)}
     )
     out = with_vault(
-        out, vault, F.col("__mw_given_id"), rows.workspace(workspace), F.col(RESTORE_TEXT)
+        out, vault, F.col("__mw_given_id"), rows.workspace(workspace), F.col("__mw_body")
     )
     pairs = placeholders.pairs_from_array(F.col("__mw_entities"))
-    out = restored(out, F.col(RESTORE_TEXT), pairs)
+    out = restored(out, F.col("__mw_body"), pairs)
     missing = (~rows.is_filled(F.col("__mw_given_id")), rows.MAPPING_ID_EMPTY)
     return _emit(out, output_field, [missing], on_error)

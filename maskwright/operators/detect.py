@@ -58,7 +58,8 @@ def _found(category: Category, include_samples: bool) -> Column:
             samples.alias("samples"),
         )
 
-    return bind(_valid(category), record)
+    valid = _valid(category)
+    return record(valid) if category.check is None else bind(valid, record)
 
 
 def with_found(

@@ -1,6 +1,12 @@
 """Named queries and session settings. Importing this package registers the queries."""
 
-from maskwright.plans import find_queries, mask_queries  # noqa: F401
+from maskwright.plans import (  # noqa: F401
+    audit_queries,
+    enrich_queries,
+    find_queries,
+    mask_queries,
+    restore_queries,
+)
 from maskwright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -4,6 +4,7 @@ from maskwright.plans import (  # noqa: F401
     audit_queries,
     enrich_queries,
     find_queries,
+    io_queries,
     mask_queries,
     restore_queries,
 )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.functions.arrays import BLOCK, bind, evaluated_once, running
-from maskwright.functions.catalogue import CATEGORIES, PLACES, Category, wanted
+from maskwright.functions.catalogue import PLACES, Category, wanted
 
 HIT_TYPE = "struct<start:int,ord:int,category:string,raw:string,end:int>"
 SPAN_TYPE = "struct<start:int,end:int,category:string,placeholder:string,original:string>"
@@ -43,51 +43,68 @@ def with_matches(df: DataFrame, text: Column, categories=None) -> DataFrame:
     return evaluated_once(out, found).drop(*held.values())
 
 
-def located(text: Column, category: Category, matches: Column) -> Column:
-    """Valid hits of one category with their positions.
+def _placed(search: Column) -> Column:
+    """Hits of one category with their positions.
 
     Spark reports matches but not where they are. ``split`` on the same expression gives the
     text between them, and the running sum of both lengths is the position of each match.
     """
+    pieces = F.transform(
+        search["matches"],
+        lambda m, i: F.struct(
+            F.length(F.get(search["gaps"], i)).alias("gap"),
+            F.length(m).alias("size"),
+            m.alias("raw"),
+        ),
+    )
+    return running(
+        pieces,
+        F.lit(0),
+        lambda at, p: at + p["gap"] + p["size"],
+        lambda at, p: F.struct(
+            (at + p["gap"]).alias("start"),
+            search["ord"].alias("ord"),
+            search["category"].alias("category"),
+            p["raw"].alias("raw"),
+            (at + p["gap"] + p["size"]).alias("end"),
+        ),
+        HIT_TYPE,
+    )
+
+
+def hits_in_order(text: Column, categories=None) -> Column:
+    """Valid hits of all categories by start; those that start together keep catalogue order."""
+    cats = wanted(categories)
+    empty = F.array().cast(f"array<{HIT_TYPE}>")
+    if not cats:
+        return empty
 
-    def place(gaps: Column) -> Column:
-        pieces = F.transform(
-            matches,
-            lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("raw")),
+    def search(category: Category) -> Column:
+        matches = F.col(match_column(category))
+        any_valid = (
+            F.size(matches) > 0 if category.check is None else F.exists(matches, category.check)
         )
-        return running(
-            pieces,
-            F.lit(0),
-            lambda at, p: at + p["gap"] + F.length(p["raw"]),
-            lambda at, p: F.struct(
-                (at + p["gap"]).alias("start"),
+        return F.when(
+            any_valid,
+            F.struct(
                 F.lit(category.order).alias("ord"),
                 F.lit(category.name).alias("category"),
-                p["raw"].alias("raw"),
-                (at + p["gap"] + F.length(p["raw"])).alias("end"),
+                matches.alias("matches"),
+                F.split(text, category.regex, -1).alias("gaps"),
             ),
-            HIT_TYPE,
         )
 
-    found = bind(F.split(text, category.regex, -1), place)
-    if category.check is None:
-        return F.when(F.size(matches) > 0, found)
-    valid = F.filter(found, lambda h: category.check(h["raw"]))
-    return F.when(F.exists(matches, category.check), valid)
+    def valid(hit: Column) -> Column:
+        answer = F.lit(True)
+        for c in cats:
+            if c.check is not None:
+                answer = F.when(hit["ord"] == c.order, c.check(hit["raw"])).otherwise(answer)
+        return answer
 
-
-def hits_in_order(text: Column, categories=None, matches=None) -> Column:
-    """Hits of all categories by start; hits that start together keep the catalogue's order."""
-    find = matches or (lambda c: F.col(match_column(c)))
-    cats = wanted(categories)
-    empty = F.array().cast(f"array<{HIT_TYPE}>")
-    if not cats:
-        return empty
-    lists = [F.coalesce(located(text, c, find(c)), empty) for c in cats]
-    any_match = F.greatest(*[F.size(find(c)) for c in cats]) if len(cats) > 1 else F.size(
-        find(cats[0])
-    )
-    return F.when(any_match > 0, F.array_sort(F.concat(*lists))).otherwise(empty)
+    searches = F.filter(F.array(*[search(c) for c in cats]), lambda s: s.isNotNull())
+    found = F.filter(F.flatten(F.transform(searches, _placed)), valid)
+    any_match = sum((F.size(match_column(c)) for c in cats), F.lit(0)) > 0
+    return F.when(any_match, F.array_sort(found)).otherwise(empty)
 
 
 def without_overlaps(hits: Column) -> Column:
@@ -118,19 +135,20 @@ def without_overlaps(hits: Column) -> Column:
 def numbered(accepted: Column) -> Column:
     """Give each hit its placeholder, counting from 1 within its category."""
 
-    def of(category: Category) -> Column:
+    def of(order: Column) -> Column:
         return F.transform(
-            F.filter(accepted, lambda h: h["ord"] == category.order),
+            F.filter(accepted, lambda h: h["ord"] == order),
             lambda h, i: F.struct(
                 h["start"].alias("start"),
                 h["end"].alias("end"),
                 h["category"].alias("category"),
-                F.format_string(f"<{category.name}_%03d>", i + 1).alias("placeholder"),
+                F.format_string("<%s_%03d>", h["category"], i + 1).alias("placeholder"),
                 h["raw"].alias("original"),
             ),
         )
 
-    return F.array_sort(F.concat(*[of(c) for c in CATEGORIES]))
+    present = F.array_distinct(F.transform(accepted, lambda h: h["ord"]))
+    return F.array_sort(F.flatten(F.transform(present, of)))
 
 
 def spans(hits: Column) -> Column:

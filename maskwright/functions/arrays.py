@@ -48,8 +48,9 @@ def running(
 ) -> Column:
     """Carry a state over an array and return what ``emit(state, item)`` gave for each item.
 
-    ``aggregate`` copies its accumulator on each append, so one pass over n items costs n*n.
-    Appending to a block first, and each full block to the result, keeps the copies near n.
+    ``aggregate`` copies its accumulator for each item, so one pass over n items costs n*n.
+    Here each block of items has an accumulator of its own, and only finished blocks are added
+    to the outer one.
     """
     empty = F.array().cast(f"array<{out_type}>")
     none_yet = F.array().cast(f"array<array<{out_type}>>")
@@ -58,19 +59,16 @@ def running(
         return F.struct(
             step(acc["state"], item).alias("state"),
             F.array_append(acc["block"], emit(acc["state"], item)).alias("block"),
-            acc["done"].alias("done"),
         )
 
-    def close(acc: Column) -> Column:
-        return F.struct(
-            acc["state"].alias("state"),
-            F.array_append(acc["done"], acc["block"]).alias("done"),
-        )
+    def one_block(outer: Column, block: Column) -> Column:
+        def close(acc: Column) -> Column:
+            return F.struct(
+                acc["state"].alias("state"),
+                F.array_append(outer["done"], acc["block"]).alias("done"),
+            )
 
-    def one_block(acc: Column, block: Column) -> Column:
-        start = F.struct(
-            acc["state"].alias("state"), empty.alias("block"), acc["done"].alias("done")
-        )
+        start = F.struct(outer["state"].alias("state"), empty.alias("block"))
         return F.aggregate(block, start, one, close)
 
     return bind(

@@ -207,3 +207,14 @@ def run_detect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_counts(documents(spark, sf_dir), ["doc_id"], "text", ["EMAIL", "CARD", "IP"])
 
 
+
+
+@query(
+    "detect_documents_all",
+    o.with_(
+        o.found("id", _FLAGSHIP),
+        "SELECT id AS doc_id, category, count(*) AS hits FROM hit GROUP BY id, category",
+    ),
+)
+def run_detect_documents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_counts(documents(spark, sf_dir), ["doc_id"], "text")

@@ -10,7 +10,7 @@ from maskwright.functions.placeholders import preexisting_placeholder
 from maskwright.operators.mask import mask, mask_entities
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
-from maskwright.plans.texts import CORPUS, LEAD, corpus, table
+from maskwright.plans.texts import CORPUS, LEAD, corpus, documents, table
 from maskwright.sources.tables import spread
 
 KEYS = "src, id"
@@ -253,3 +253,14 @@ def run_preexisting_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN c_nationkey % 4 = 1 THEN ' see <EMAIL_01>' ELSE '' END) AS t",
     )
     return texts.select("id", preexisting_placeholder(F.col("t")).alias("taken"))
+
+
+@query(
+    "mask_documents",
+    o.with_(
+        o.masked("id", "SELECT doc_id AS id, text AS t FROM documents"),
+        "SELECT id AS doc_id, masked_text FROM masked",
+    ),
+)
+def run_mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask(documents(spark, sf_dir), "text", ["doc_id"]).select("doc_id", "masked.masked_text")

@@ -17,6 +17,8 @@ SPAN_TYPE = "struct<start:int,end:int,category:string,placeholder:string,origina
 
 TEXT = "__mw_text"
 
+_MARK = "\uE000"
+
 
 def match_column(category: Category) -> str:
     return f"__mw_{category.name.lower()}"
@@ -43,11 +45,24 @@ def with_matches(df: DataFrame, text: Column, categories=None) -> DataFrame:
     return evaluated_once(out, found).drop(*held.values())
 
 
+def _gaps(text: Column, category: Category) -> Column:
+    """The text before, between and after a category's matches.
+
+    ``split`` compiles its expression for every row, ``regexp_replace`` once per task. So the
+    matches become a mark first, and the text is split at the mark, which is a plain character.
+    A text that holds the mark itself takes the direct way.
+    """
+    marked = F.regexp_replace(text, F.lit(category.regex), F.lit(_MARK))
+    return F.when(
+        F.contains(text, F.lit(_MARK)), F.split(text, category.regex, -1)
+    ).otherwise(F.split(marked, _MARK, -1))
+
+
 def _placed(search: Column) -> Column:
     """Hits of one category with their positions.
 
-    Spark reports matches but not where they are. ``split`` on the same expression gives the
-    text between them, and the running sum of both lengths is the position of each match.
+    Spark reports matches but not where they are: the running sum of the lengths of gaps and
+    matches is the position of each match.
     """
     pieces = F.transform(
         search["matches"],
@@ -90,7 +105,7 @@ def hits_in_order(text: Column, categories=None) -> Column:
                 F.lit(category.order).alias("ord"),
                 F.lit(category.name).alias("category"),
                 matches.alias("matches"),
-                F.split(text, category.regex, -1).alias("gaps"),
+                _gaps(text, category).alias("gaps"),
             ),
         )
 

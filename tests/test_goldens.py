@@ -44,6 +44,8 @@ MASKED = [
      "<DATE_001> 32.12.1999 1.13.2000 01.01.2100 1.1.2000x"),
     ("112-233-445-95 112 233 445 95", "<SNILS_001> 112 233 445 95"),
     ("11223344595", "11223344595"),
+    # A private-use character, which positions must not be thrown off by.
+    ("\uE000a@x.ru\uE000 1.1.2000", "\uE000<EMAIL_001>\uE000 <DATE_001>"),
 ]
 
 

@@ -11,7 +11,13 @@ from maskwright.operators.audit import (
 )
 from maskwright.operators.detect import detect, detect_counts, detect_samples, hits
 from maskwright.operators.enrich import private_enrich
-from maskwright.operators.mask import mask, mask_entities, vault_rows
+from maskwright.operators.mask import (
+    mask,
+    mask_entities,
+    mask_with_vault,
+    take_apart,
+    vault_rows,
+)
 from maskwright.operators.restore import restore, restore_with_mapping
 
 __version__ = "0.1.0"
@@ -29,10 +35,12 @@ __all__ = [
     "leak_check",
     "mask",
     "mask_entities",
+    "mask_with_vault",
     "private_enrich",
     "restore",
     "restore_with_mapping",
     "row_audit",
     "summarise_entities",
+    "take_apart",
     "vault_rows",
 ]

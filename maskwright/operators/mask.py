@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ SPANS = "__mw_spans"
 MASKED = "__mw_masked"
 MAPPING_ID = "__mw_mapping_id"
 WORKSPACE = "__mw_workspace"
+ENTITIES_FIELD = "__entities"
+WORKSPACE_FIELD = "__workspace"
 
 
 def public_entities(entities_: Column) -> Column:
@@ -36,13 +40,19 @@ def public_entities(entities_: Column) -> Column:
     )
 
 
-def with_spans(df: DataFrame, text: str | Column) -> DataFrame:
-    """Add the text, its numbered spans and its masked form as working columns."""
-    out = with_matches(df, rows.as_column(text))
-    both = bind(
+@lru_cache(maxsize=8)
+def _spans_and_masked(application_id: str) -> Column:
+    """The span expression reads working columns only, so one serves all tables of a session."""
+    return bind(
         spans(hits_in_order(F.col(TEXT))),
         lambda s: F.struct(s.alias(SPANS), splice(F.col(TEXT), s).alias(MASKED)),
     )
+
+
+def with_spans(df: DataFrame, text: str | Column) -> DataFrame:
+    """Add the text, its numbered spans and its masked form as working columns."""
+    out = with_matches(df, rows.as_column(text))
+    both = _spans_and_masked(df.sparkSession.sparkContext.applicationId)
     return evaluated_once(out, both).drop(*[match_column(c) for c in CATEGORIES])
 
 
@@ -111,6 +121,37 @@ def vault_rows(
     )
 
 
+def mask_with_vault(
+    df: DataFrame,
+    text: str,
+    key: list[str],
+    workspace: str | Column | None = None,
+    policy: str = "balanced",
+    output_field: str = "masked",
+    on_error: str = "fail",
+) -> DataFrame:
+    """Masked rows without the raw text column, with their vault side still attached.
+
+    Stage or persist this, then take it apart with :func:`take_apart`, and the texts are
+    matched once for both tables.
+    """
+    both = mask(
+        df, text, key, workspace, policy, output_field, on_error,
+        entities_field=ENTITIES_FIELD, workspace_field=WORKSPACE_FIELD,
+    )
+    return both.drop(text) if text in df.columns else both
+
+
+def take_apart(both: DataFrame, output_field: str = "masked") -> tuple[DataFrame, DataFrame]:
+    """Masked rows and vault rows from what :func:`mask_with_vault` gave."""
+    vault = both.where(F.size(ENTITIES_FIELD) > 0).select(
+        F.col(WORKSPACE_FIELD).alias("workspace_id"),
+        F.col(f"{output_field}.mapping_id").alias("mapping_id"),
+        F.col(ENTITIES_FIELD).alias("entities"),
+    )
+    return both.drop(ENTITIES_FIELD, WORKSPACE_FIELD), vault
+
+
 def mapping_rows(vault: DataFrame) -> DataFrame:
     """A vault as one row per placeholder."""
     return vault.select("workspace_id", "mapping_id", F.inline("entities")).select(

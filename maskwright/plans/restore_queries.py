@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions import placeholders
@@ -13,12 +13,18 @@ from maskwright.operators.audit import (
     orphan_masked,
     unused_mapping,
 )
-from maskwright.operators.mask import mapping_rows, mask, vault_rows
+from maskwright.operators.mask import (
+    mapping_rows,
+    mask,
+    mask_with_vault,
+    take_apart,
+    vault_rows,
+)
 from maskwright.operators.restore import grouped_mapping, restore, restore_with_mapping
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEADS, VISITS, corpus, leads, table, visits
-from maskwright.sources.staging import new_path
+from maskwright.sources.staging import new_path, stage
 from maskwright.sources.vault import read_vault, write_vault
 
 KEYS = "src, id"
@@ -138,8 +144,14 @@ def run_normalise_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRONG = "id % 7 = 3"  # rows that ask with another workspace's name
 
 
-def _masked_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mask(leads(spark, sf_dir), "t", ["id"], workspace=F.col("segment"))
+def _masked_and_vault(df: DataFrame, workspace: Column | None = None):
+    """Both tables of a masked text, from one written scan."""
+    both = mask_with_vault(df.withColumn("raw", F.col("t")), "t", ["id"], workspace)
+    return take_apart(stage(both, "masked"))
+
+
+def _masked_and_vault_leads(spark: SparkSession, sf_dir: str):
+    return _masked_and_vault(leads(spark, sf_dir), F.col("segment"))
 
 
 def _vault_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,9 +172,10 @@ LEAD_ID = "sha256(concat('{\"w\":\"', segment, '\",\"k0\":', id, '}'))"
 )
 def run_restore_with_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.when(F.expr(_WRONG), F.lit("ELSEWHERE")).otherwise(F.col("segment"))
+    masked, vault = _masked_and_vault_leads(spark, sf_dir)
     out = restore_with_mapping(
-        _masked_leads(spark, sf_dir),
-        _vault_leads(spark, sf_dir),
+        masked,
+        vault,
         F.col("masked.masked_text"),
         F.col("masked.mapping_id"),
         workspace=asked,
@@ -177,10 +190,10 @@ def run_restore_with_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("restore_from_rows", f"SELECT id, t AS restored_text FROM ({VISITS})")
 def run_restore_from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mapping as one row per placeholder, with every row there twice."""
-    texts = visits(spark, sf_dir)
-    rows_ = mapping_rows(vault_rows(texts, "t", ["id"]))
+    masked, vault = _masked_and_vault(visits(spark, sf_dir))
+    rows_ = mapping_rows(vault)
     out = restore_with_mapping(
-        mask(texts, "t", ["id"]),
+        masked,
         rows_.unionByName(rows_),
         F.col("masked.masked_text"),
         F.col("masked.mapping_id"),
@@ -222,10 +235,10 @@ def run_grouped_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("orphan_masked", f"SELECT id FROM ({LEADS}) WHERE {_WRONG} OR segment = 'MACHINERY'")
 def run_orphan_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.when(F.expr(_WRONG), F.lit("ELSEWHERE")).otherwise(F.col("segment"))
-    known = _vault_leads(spark, sf_dir).where("workspace_id <> 'MACHINERY'")
+    masked, vault = _masked_and_vault_leads(spark, sf_dir)
     return orphan_masked(
-        _masked_leads(spark, sf_dir),
-        known,
+        masked,
+        vault.where("workspace_id <> 'MACHINERY'"),
         F.col("masked.masked_text"),
         F.col("masked.mapping_id"),
         asked,
@@ -239,10 +252,9 @@ def run_orphan_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_unused_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.when(F.expr(_WRONG), F.lit("ELSEWHERE")).otherwise(F.col("segment"))
-    known = _masked_leads(spark, sf_dir).where("segment <> 'MACHINERY'")
-    unused = unused_mapping(
-        known, _vault_leads(spark, sf_dir), F.col("masked.mapping_id"), asked
-    )
+    masked, vault = _masked_and_vault_leads(spark, sf_dir)
+    known = masked.where("segment <> 'MACHINERY'")
+    unused = unused_mapping(known, vault, F.col("masked.mapping_id"), asked)
     return unused.select("workspace_id", "mapping_id")
 
 
@@ -279,9 +291,11 @@ def run_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some rows are made to leak by adding the raw text again."""
-    texts = visits(spark, sf_dir)
-    sent = mask(texts, "t", ["id"]).select(
-        F.expr("concat(masked.masked_text, CASE WHEN id % 5 = 0 THEN t ELSE '' END)").alias("body"),
+    masked, vault = _masked_and_vault(visits(spark, sf_dir))
+    sent = masked.select(
+        F.expr("concat(masked.masked_text, CASE WHEN id % 5 = 0 THEN raw ELSE '' END)").alias(
+            "body"
+        ),
         "masked.mapping_id",
     )
-    return leak_check(sent, vault_rows(texts, "t", ["id"]), "body")
+    return leak_check(sent, vault, "body")

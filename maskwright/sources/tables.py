@@ -22,6 +22,8 @@ def spread(df: DataFrame) -> DataFrame:
     checked size are returned as they are: their file splits are enough, and their texts are
     never shuffled.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if input_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
         return df

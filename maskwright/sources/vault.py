@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.operators.mask import mask
+from maskwright.operators.mask import mask_with_vault, take_apart
 from maskwright.sources.staging import stage
 
 ENTITY_TYPE = (
@@ -60,19 +60,7 @@ def write_masked(
     outputs are read from. The vault is written first: masked data without a mapping could
     not be restored.
     """
-    both = mask(
-        df, text, key, workspace, policy, output_field, on_error,
-        entities_field="__entities", workspace_field="__workspace",
-    )
-    if text in df.columns:
-        both = both.drop(text)
-    both = stage(both, "masked", stage_path)
-    vault = both.where(F.size("__entities") > 0).select(
-        F.col("__workspace").alias("workspace_id"),
-        F.col(f"{output_field}.mapping_id").alias("mapping_id"),
-        F.col("__entities").alias("entities"),
-    )
+    both = mask_with_vault(df, text, key, workspace, policy, output_field, on_error)
+    masked, vault = take_apart(stage(both, "masked", stage_path), output_field)
     write_vault(vault, vault_path, mode)
-    both.drop("__entities", "__workspace").write.mode(mode).parquet(masked_path)
-
-
+    masked.write.mode(mode).parquet(masked_path)

@@ -24,6 +24,7 @@ def stream_audit(
     pair of sums per open window and category, whatever the number of rows; batch frames work
     as well.
     """
+    kind = df.select(event_time).schema[0].dataType
     timed = df.withColumn("__at", F.col(event_time).cast("timestamp"))
     if df.isStreaming:
         timed = timed.withWatermark("__at", delay)
@@ -40,8 +41,8 @@ def stream_audit(
             F.count("*").alias("rows_with_hits"),
         )
         .select(
-            F.col("span.start").alias("window_start"),
-            F.col("span.end").alias("window_end"),
+            F.col("span.start").cast(kind).alias("window_start"),
+            F.col("span.end").cast(kind).alias("window_end"),
             "category",
             "hits",
             "rows_with_hits",

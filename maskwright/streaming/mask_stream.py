@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from maskwright.operators.mask import mask
+from maskwright.operators.mask import mask_with_vault, take_apart
 
 # Masking keeps no state: `operators.mask.mask` and `operators.detect.detect` can be applied to
 # a streaming frame as they are, in append mode. What a stream adds is the second output.
@@ -30,27 +29,16 @@ def mask_stream(
     after the batch. A replayed batch overwrites its own folders, and the mapping id comes
     from the key, so a failure at any point leaves no second copy.
     """
-    both = mask(
-        df, text, key, workspace, policy, output_field, on_error,
-        entities_field="__entities", workspace_field="__workspace",
-    )
-    if text in df.columns:
-        both = both.drop(text)
+    both = mask_with_vault(df, text, key, workspace, policy, output_field, on_error)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            vault = batch.where(F.size("__entities") > 0).select(
-                F.col("__workspace").alias("workspace_id"),
-                F.col(f"{output_field}.mapping_id").alias("mapping_id"),
-                F.col("__entities").alias("entities"),
-            )
+            masked, vault = take_apart(batch, output_field)
             vault.write.mode("overwrite").partitionBy("workspace_id").parquet(
                 f"{vault_path}/batch_id={batch_id}"
             )
-            batch.drop("__entities", "__workspace").write.mode("overwrite").parquet(
-                f"{masked_path}/batch_id={batch_id}"
-            )
+            masked.write.mode("overwrite").parquet(f"{masked_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

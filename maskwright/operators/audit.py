@@ -105,6 +105,9 @@ def audit_log(vault: DataFrame) -> DataFrame:
     )
 
 
+GROUPINGS = ("group", "rollup", "cube")
+
+
 def dataset_audit(
     df: DataFrame,
     by: list[str],
@@ -118,16 +121,21 @@ def dataset_audit(
     only small partial sums are shuffled, however uneven the groups are, and the per-category
     columns become rows only after that.
     """
+    if grouping not in GROUPINGS:
+        raise ValueError(f"grouping must be one of {GROUPINGS}, got {grouping!r}")
     cats = wanted(categories)
     names = [c.name.lower() for c in cats]
     counted = count_columns(df, text, categories).select(*by, *[f"n_{n}" for n in names])
-    group = {
-        "group": counted.groupBy, "rollup": counted.rollup, "cube": counted.cube
-    }[grouping](*by)
     sums = [F.sum(f"n_{n}").alias(f"h_{n}") for n in names]
     seen = [F.count_if(F.col(f"n_{n}") > 0).alias(f"r_{n}") for n in names]
-    level = [] if grouping == "group" else [F.grouping_id().alias("level")]
-    out = group.agg(F.count("*").alias("rows_scanned"), *level, *sums, *seen)
+    out = counted.groupBy(*by).agg(F.count("*").alias("rows_scanned"), *sums, *seen)
+    level = []
+    if grouping != "group":
+        # Grouping sets copy their input once per set, so they get the finest groups, not rows.
+        level = [F.grouping_id().alias("level")]
+        sets = {"rollup": out.rollup, "cube": out.cube}[grouping](*by)
+        totals = ["rows_scanned", *[f"h_{n}" for n in names], *[f"r_{n}" for n in names]]
+        out = sets.agg(*level, *[F.sum(t).alias(t) for t in totals])
     per_category = F.array(
         *[
             F.struct(
@@ -160,7 +168,12 @@ def leak_check(
         body.alias("__mw_body"), given.alias("mapping_id"), space.alias("workspace_id")
     )
     joined = with_vault(
-        sent, vault, F.col("mapping_id"), F.col("workspace_id"), F.col("__mw_body")
+        sent,
+        vault,
+        F.col("mapping_id"),
+        F.col("workspace_id"),
+        F.col("__mw_body"),
+        ("category", "placeholder", "original"),
     )
     leaked = F.filter("__mw_entities", lambda e: F.contains(F.col("__mw_body"), e["original"]))
     return joined.select(*MAPPING_KEYS, F.inline(leaked)).select(

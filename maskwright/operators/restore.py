@@ -92,9 +92,11 @@ def with_vault(
     mapping_id: Column,
     workspace: Column,
     spread: Column,
-    entities_field: str = "__mw_entities",
+    fields: tuple[str, ...] = ("placeholder", "original"),
 ) -> DataFrame:
-    """Left equi join of masked rows with their entities.
+    """Left equi join of masked rows with their entities, as ``__mw_entities``.
+
+    Only the given fields of the entities are read from the vault and shuffled.
 
     Rows without an id cannot match. They would all meet in one partition, so their join key
     is spread by ``spread`` instead. A mapping id shared by many rows is split by Spark's
@@ -113,7 +115,7 @@ def with_vault(
     right = vault.select(
         F.col("workspace_id").alias("__mw_ws"),
         F.col("mapping_id").alias("__mw_id"),
-        F.col("entities").alias(entities_field),
+        F.arrays_zip(*[F.col(f"entities.{f}").alias(f) for f in fields]).alias("__mw_entities"),
     )
     return left.join(right, ["__mw_ws", "__mw_id"], "left").drop("__mw_ws", "__mw_id")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from maskwright.functions import rows
 from maskwright.functions.placeholders import preexisting_placeholder
+from maskwright.operators.arrow import mask_arrow
 from maskwright.operators.mask import mask, mask_entities
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
@@ -264,3 +265,11 @@ def run_preexisting_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask(documents(spark, sf_dir), "text", ["doc_id"]).select("doc_id", "masked.masked_text")
+
+
+@query(
+    "mask_arrow",
+    o.with_(o.masked(KEYS, CORPUS), "SELECT src, id, masked_text FROM masked"),
+)
+def run_mask_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_arrow(corpus(spark, sf_dir), "t").select("src", "id", "masked.masked_text")

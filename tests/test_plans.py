@@ -57,6 +57,19 @@ def test_dataset_audit_shuffles_partial_sums_only(documents):
     assert "partial_sum" in shuffled
 
 
+def test_cube_copies_groups_not_rows(documents):
+    plan = plan_of(dataset_audit(documents, ["lang", "source"], "text", grouping="cube"))
+    assert "Exchange hashpartitioning(lang" in plan[plan.index("Expand"):]
+
+
+def test_restoring_reads_two_fields_of_the_vault(spark, documents, tmp_path):
+    path = str(tmp_path / "vault")
+    write_vault(vault_rows(documents, "text", ["doc_id"]), path)
+    masked = documents.selectExpr("doc_id", "text", "cast(doc_id AS string) AS mapping_id")
+    plan = plan_of(restore_with_mapping(masked, read_vault(spark, path)))
+    assert "entities:array<struct<placeholder:string,original:string>>" in plan
+
+
 def test_audit_log_of_a_vault_is_not_shuffled(documents):
     assert "Exchange" not in plan_of(audit_log(vault_rows(documents, "text", ["doc_id"])))
 

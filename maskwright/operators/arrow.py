@@ -1,7 +1,7 @@
 """Masking as an Arrow-batched pandas UDF: a second physical form with the same result.
 
-Only the text column goes to Python. The built-in form in ``operators.mask`` is the default; this
-one suits texts packed with values, where the built-in array functions are interpreted.
+Only the text column goes to Python. The built-in form in ``operators.mask`` is the faster one, on
+plain documents and on texts packed with values alike; this one is an independent check of it.
 """
 
 from __future__ import annotations

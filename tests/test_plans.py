@@ -91,7 +91,6 @@ def test_small_inputs_are_spread_and_large_ones_are_not(spark, documents, monkey
 
 def test_a_mapping_shared_by_a_third_of_all_rows_is_split(spark, tmp_path):
     """With many rows on one mapping id the join is run as a skew join."""
-    entity = "struct<category:string,placeholder:string,original:string,start:int,end:int>"
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -111,7 +110,7 @@ def test_a_mapping_shared_by_a_third_of_all_rows_is_split(spark, tmp_path):
             "'default' AS workspace_id",
             "IF(id = 1000, 'hot', concat('m', id)) AS mapping_id",
             "array(named_struct('category', 'NAME', 'placeholder', '<NAME_001>', 'original', "
-            f"concat('n', id), 'start', 0, 'end', 2)) AS entities",
+            "concat('n', id), 'start', 0, 'end', 2)) AS entities",
         ).write.parquet(str(tmp_path / "vault"))
         out = restore_with_mapping(
             spark.read.parquet(str(tmp_path / "masked")), spark.read.parquet(str(tmp_path / "vault"))
@@ -120,7 +119,7 @@ def test_a_mapping_shared_by_a_third_of_all_rows_is_split(spark, tmp_path):
         got = out.select("id", "mapping_id", "restored.restored_text")
         rows = got.collect()
         assert "SortMergeJoin(skew=true)" in plan_of(got)
-        assert len(rows) == 30000 and entity
+        assert len(rows) == 30000
         for r in rows:
             name = "n1000" if r.mapping_id == "hot" else "n" + r.mapping_id[1:]
             assert r.restored_text.startswith(f"to {name} ")

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def small_batches(
         values = batch.column(batch.schema.get_field_index(column))
         if not len(values):
             continue
-        lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(
+        lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy(
             zero_copy_only=False
         )
         start, held = 0, 0

@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from maskwright.llm import sql
 from maskwright.llm.common import table
 from maskwright.llm.exact_dedup import exact_dedup
+from maskwright.llm.packing import pack
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {

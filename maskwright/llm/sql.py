@@ -11,3 +11,15 @@ SELECT doc_id,
        sha256(norm) AS text_sha256
 FROM d
 """
+
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+                  max(page_id) OVER (PARTITION BY payload) AS first_id
+           FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""

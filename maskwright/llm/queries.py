@@ -11,6 +11,7 @@ from maskwright.llm import sql
 from maskwright.llm.common import table
 from maskwright.llm.exact_dedup import exact_dedup
 from maskwright.llm.packing import pack
+from maskwright.llm.warc import warc_round_trip
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +22,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_warc": op8_warc,
     "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
+    "op8_warc": sql.WARC,
 }

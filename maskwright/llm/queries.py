@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from maskwright.llm import sql
 from maskwright.llm.common import table
+from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
 from maskwright.llm.packing import pack
 from maskwright.llm.warc import warc_round_trip
@@ -22,17 +23,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("longest_words", "matches")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op8_warc": op8_warc,
     "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
+    "op6_decontaminate": sql.DECONTAMINATE,
     "op8_warc": sql.WARC,
 }

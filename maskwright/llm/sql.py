@@ -23,3 +23,28 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
 FROM d
 """
+
+DECONTAMINATE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+     win AS (SELECT DISTINCT item_id, least(13, len(words)) AS m,
+                 array_to_string(words[i:i + least(13, len(words)) - 1], ' ') AS gram
+             FROM b, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS t(i)
+             WHERE len(words) > 0),
+     sizes AS (SELECT DISTINCT m FROM win),
+     grams AS (SELECT doc_id, i, m, array_to_string(words[i:i + m - 1], ' ') AS gram
+               FROM w, sizes, unnest(range(1, len(words) - m + 2)) AS t(i)),
+     hits AS (SELECT g.doc_id, g.i, g.m, win.item_id FROM grams g JOIN win USING (m, gram)),
+     hw AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+            FROM hits, unnest(range(i, i + m)) AS t(k) GROUP BY doc_id),
+     it AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM w LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)
+"""

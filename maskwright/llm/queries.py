@@ -11,6 +11,7 @@ from maskwright.llm import sql
 from maskwright.llm.common import table
 from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
+from maskwright.llm.langid import identify
 from maskwright.llm.packing import pack
 from maskwright.llm.warc import warc_round_trip
 
@@ -19,6 +20,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op8_warc": op8_warc,
+    "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
 

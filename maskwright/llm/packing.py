@@ -40,7 +40,7 @@ from maskwright.sources.staging import stage
 
 WINDOW = 4096
 END = 2
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 MAX_QUEUES = 10_000
 
 TOKENS = "doc_id long, queue string, part int, at long, n long, ids binary"

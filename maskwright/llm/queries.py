@@ -12,9 +12,12 @@ from maskwright.llm.common import table
 from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
 from maskwright.llm.langid import identify
+from maskwright.llm.lm import score
 from maskwright.llm.packing import pack
 from maskwright.llm.warc import warc_round_trip
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -25,7 +28,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +36,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("longest_words", "matches")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
@@ -40,6 +47,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_lm_score": op7_lm_score,
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,

@@ -11,6 +11,7 @@ from maskwright.llm import sql
 from maskwright.llm.common import table
 from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
+from maskwright.llm.jaccard_join import jaccard_join
 from maskwright.llm.langid import identify
 from maskwright.llm.lm import score
 from maskwright.llm.packing import pack
@@ -31,6 +32,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("longest_words", "matches")
@@ -46,6 +51,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_decontaminate": op6_decontaminate,
     "op7_lm_score": op7_lm_score,
     "op8_warc": op8_warc,

@@ -30,61 +30,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.llm.common import LOWER_BYTES, small_batches
-from maskwright.llm.subwords import gather
+from maskwright.llm.common import small_batches
+from maskwright.llm.words import ALPHANUMERIC, Words, gather
 
 WINDOW = 13
 PERCENT = 5
 SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 32 << 20
 
-# Bytes of a word: digits, letters and all that is not ASCII.
-WORD_BYTES = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
-
 MATCH = "struct<item_id:string,item_word:long,word:long,length:long>"
 FOUND = f"n_words long, hit array<long>, items array<string>, longest_words long, matches array<{MATCH}>"
 
 
-def hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words whose bytes stand one after the other."""
-    if not len(lengths):
-        return np.empty(0, np.uint64)
-    begins = np.cumsum(lengths) - lengths
-    weights = np.random.default_rng(13).integers(0, 1 << 64, int(lengths.max()), np.uint64)
-    places = np.arange(len(data)) - np.repeat(begins, lengths)
-    h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * weights[places], begins)
-    h ^= h >> np.uint64(29)
-    return h * np.uint64(0x9E3779B97F4A7C15)
-
-
-class Words:
-    """The words of many texts: their bytes, lengths, hashes, and the text each stands in."""
-
-    def __init__(self, texts: Sequence[bytes | None]) -> None:
-        joined = b"\0".join(t or b"" for t in texts) + b"\0"
-        data = np.frombuffer(joined.translate(LOWER_BYTES), np.uint8)
-        inside = WORD_BYTES[data]
-        steps = np.diff(np.concatenate([[False], inside]).astype(np.int8))
-        begins, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
-        self.data, self.lengths = data[inside], ends - begins
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.hash = hashes(self.data, self.lengths)
-        last = np.cumsum([len(t or b"") + 1 for t in texts])
-        self.text = np.searchsorted(last, begins, side="right")
-        self.counts = np.bincount(self.text, minlength=len(texts))
-        self.first = np.cumsum(self.counts) - self.counts
-
-    def __getitem__(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes and lengths of some words."""
-        return gather(self.data, self.starts[some], self.lengths[some]), self.lengths[some]
-
-
 class Block:
     """Windows of benchmark items, ready to be looked up in any shard."""
 
     def __init__(self, items: Sequence[tuple[str, str]], window: int) -> None:
         self.names = [name for name, _ in items]
-        words = Words([t.encode() for _, t in items])
+        words = Words([t.encode() for _, t in items], ALPHANUMERIC)
         self.vocabulary, one = np.unique(words.hash, return_index=True)
         self.data, self.lengths = words[one]
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -197,7 +160,7 @@ def verified(block: Block, words: Words, numbers: np.ndarray, places: np.ndarray
 
 def search(block: Block, texts: Sequence[bytes | None]) -> list[tuple]:
     """For each text: words, runs of hit words, names of items, longest match, all matches."""
-    words = Words(texts)
+    words = Words(texts, ALPHANUMERIC)
     numbers = block.numbers(words)
     while True:
         windows, places = occurrences(block, numbers)
@@ -214,7 +177,7 @@ def search(block: Block, texts: Sequence[bytes | None]) -> list[tuple]:
     joined = np.zeros(len(order), bool)
     joined[1:] = (item[1:] == item[:-1]) & (place[1:] == place[:-1] + 1) & (at[1:] == at[:-1] + 1)
     heads = np.flatnonzero(~joined)
-    tails = np.append(heads[1:], len(order)) - 1
+    tails = np.append(heads[1:], len(order))[: len(heads)] - 1
     slot = words.first + np.arange(len(words.counts))
     doc = np.searchsorted(slot, place[heads], side="right") - 1
     matches: list[list[tuple]] = [[] for _ in texts]

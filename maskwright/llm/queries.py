@@ -14,12 +14,17 @@ from maskwright.llm.exact_dedup import exact_dedup
 from maskwright.llm.jaccard_join import jaccard_join
 from maskwright.llm.langid import identify
 from maskwright.llm.lm import score
+from maskwright.llm.lpf import remove_later_copies
 from maskwright.llm.packing import pack
 from maskwright.llm.warc import warc_round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_later_copies(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_decontaminate": op6_decontaminate,

@@ -16,9 +16,19 @@ from maskwright.llm.langid import identify
 from maskwright.llm.lm import score
 from maskwright.llm.lpf import remove_later_copies
 from maskwright.llm.packing import pack
+from maskwright.llm.token_counts import count_edited, redactions
 from maskwright.llm.warc import warc_round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+# The edits that token counts follow: addresses and long numbers are masked.
+EDITED = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|[0-9][0-9 .()-]{6,}[0-9]", "<MASKED>")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return count_edited(documents, RANKS, public_tokenizers.PATTERN, redactions(*EDITED))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +65,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,

@@ -16,6 +16,7 @@ from maskwright.llm.langid import identify
 from maskwright.llm.lm import score
 from maskwright.llm.lpf import remove_later_copies
 from maskwright.llm.packing import pack
+from maskwright.llm.pii import find_personal_data
 from maskwright.llm.token_counts import count_edited, redactions
 from maskwright.llm.warc import warc_round_trip
 
@@ -51,6 +52,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("longest_words", "matches")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_pii": op5_pii,
     "op6_decontaminate": op6_decontaminate,
     "op7_lm_score": op7_lm_score,
     "op8_warc": op8_warc,

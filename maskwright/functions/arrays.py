@@ -71,17 +71,10 @@ def running(
         start = F.struct(outer["state"].alias("state"), empty.alias("block"))
         return F.aggregate(block, start, one, close)
 
-    def whole(bound: Column) -> Column:
-        start = F.struct(zero.alias("state"), empty.alias("block"))
-        return F.aggregate(bound, start, one, lambda acc: acc["block"])
-
     def by_block(bound: Column) -> Column:
         start = F.struct(zero.alias("state"), none_yet.alias("done"))
         return F.flatten(
             F.aggregate(blocks(bound), start, one_block, lambda acc: acc["done"])
         )
 
-    return bind(
-        items,
-        lambda bound: F.when(F.size(bound) <= BLOCK, whole(bound)).otherwise(by_block(bound)),
-    )
+    return bind(items, by_block)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Messages of refused rows and the default workspace.
 MASK_TEXT_EMPTY = (
-    "Text is empty — set the Text property to an expression like {{ $json.message }}."
+    "Text is empty: name a column that holds text, or keep such rows with on_error."
 )
 TEXT_EMPTY = "Text is empty."
 PROMPT_EMPTY = "Prompt is empty."
@@ -37,17 +37,21 @@ def workspace(*choices: str | Column | None) -> Column:
     return F.coalesce(*[F.nullif(o, F.lit("")) for o in options], F.lit(DEFAULT_WORKSPACE))
 
 
-def mapping_id(workspace_: Column, key: list[str | Column] | None) -> Column:
+def mapping_id(
+    workspace_: Column, key: list[str | Column] | None, text: str | Column
+) -> Column:
     """Id that ties masked text to its mapping.
 
     With a key the id is the same on every recomputation, retry and replay, which is what a
-    later join needs. Without one it is random, and the masked table must be written before
-    anything else is derived from it.
+    later join needs. It covers the text, so rows that repeat a key, or have none, share an id
+    only if they share all that the mapping holds. Without a key it is random, and the masked
+    table must be written before anything else is derived from it.
     """
     if not key:
         return F.expr("uuid()")
     named = [as_column(k).alias(f"k{i}") for i, k in enumerate(key)]
-    return F.sha2(F.to_json(F.struct(workspace_.alias("w"), *named)), 256)
+    body = F.sha2(as_column(text).cast("binary"), 256).alias("t")
+    return F.sha2(F.to_json(F.struct(workspace_.alias("w"), *named, body)), 256)
 
 
 def emit(
@@ -62,8 +66,9 @@ def emit(
         raise ValueError(f"on_error must be one of {ON_ERROR}, got {on_error!r}")
     message = F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in problems])
     if on_error == "fail":
-        checked = F.when(message.isNull(), output).otherwise(F.raise_error(message))
-        return df.withColumn(output_field, checked)
+        # A filter, so that the rows are checked whatever is selected; it reads the text's column.
+        passes = F.when(message.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+        return df.where(passes).withColumn(output_field, output)
     earlier = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     return df.withColumns(
         {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType
 
 from maskwright.functions import rows
 from maskwright.functions.arrays import bind, evaluated_once
@@ -62,9 +63,29 @@ def summarise_entities(
     return out.withColumn(output_field, output).drop("__mw_list", "__mw_counts")
 
 
+_NUMBER = "\uE002"
+
+
+def _printed(value: Column, kind: DataType) -> Column:
+    """Doubles as text between marks, whole ones without an exponent, at any depth."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        whole = (F.abs(value) < 1e21) & (value == F.floor(value.cast("decimal(38,6)")))
+        text = F.when(whole, value.cast("decimal(22,0)").cast("string")).otherwise(value.cast("string"))
+        return F.when(~F.isnan(value), F.concat(F.lit(_NUMBER), text, F.lit(_NUMBER)))
+    if isinstance(kind, StructType):
+        fields = [_printed(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _printed(x, kind.elementType))
+    return value
+
+
 def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """The whole row as JSON text, nulls printed."""
-    return F.to_json(F.struct(*(columns or df.columns)), {"ignoreNullFields": "false"})
+    """The whole row as JSON text, nulls printed, and whole numbers below 1e21 in full."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    shown = [_printed(F.col(f"`{c}`"), kinds[c]).alias(c) for c in columns or df.columns]
+    text = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
+    return F.regexp_replace(text, f'"{_NUMBER}([^"{_NUMBER}]*){_NUMBER}"', "$1")
 
 
 def row_audit(

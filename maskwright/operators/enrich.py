@@ -19,7 +19,7 @@ MODEL = "__mw_model"
 def _prepared(df, text, key, workspace, model, custom_model) -> DataFrame:
     space = rows.workspace(workspace)
     out = df.withColumns(
-        {MAPPING_ID: rows.mapping_id(space, key), MODEL: resolve_model(model, custom_model)}
+        {MAPPING_ID: rows.mapping_id(space, key, text), MODEL: resolve_model(model, custom_model)}
     )
     return with_spans(out, text)
 
@@ -62,6 +62,8 @@ def private_enrich(
     ``sources.staging.stage`` (bound to a session) as ``stage`` to write the masked rows once,
     so that masking is not repeated for the two sides of the join.
     """
+    if not key:
+        raise ValueError("answers can only be joined back if ids come from a key")
     out = _prepared(df, text, key, workspace, model, custom_model)
     if stage is not None:
         out = stage(out)
@@ -70,7 +72,7 @@ def private_enrich(
         F.col(MAPPING_ID).alias("mapping_id"),
         F.col(MODEL).alias("model"),
         F.col(MASKED).alias("masked_prompt"),
-    )
+    ).distinct()
     answers = enrich(sent).select(
         F.col("mapping_id").alias(MAPPING_ID), F.col("masked_response").alias("__mw_answer")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +38,8 @@ def public_entities(entities_: Column) -> Column:
     )
 
 
-@lru_cache(maxsize=8)
-def _spans_and_masked(application_id: str) -> Column:
-    """The span expression reads working columns only, so one serves all tables of a session."""
+def _spans_and_masked() -> Column:
+    """The span expression; it reads working columns only."""
     return bind(
         spans(hits_in_order(F.col(TEXT))),
         lambda s: F.struct(s.alias(SPANS), splice(F.col(TEXT), s).alias(MASKED)),
@@ -52,8 +49,7 @@ def _spans_and_masked(application_id: str) -> Column:
 def with_spans(df: DataFrame, text: str | Column) -> DataFrame:
     """Add the text, its numbered spans and its masked form as working columns."""
     out = with_matches(df, rows.as_column(text))
-    both = _spans_and_masked(df.sparkSession.sparkContext.applicationId)
-    return evaluated_once(out, both).drop(*[match_column(c) for c in CATEGORIES])
+    return evaluated_once(out, _spans_and_masked()).drop(*[match_column(c) for c in CATEGORIES])
 
 
 def mask(
@@ -78,7 +74,7 @@ def mask(
     space = rows.workspace(workspace)
     # The id reads the caller's columns, so it is taken before any of them can be replaced.
     out = with_spans(
-        df.withColumns({MAPPING_ID: rows.mapping_id(space, key), WORKSPACE: space}), text
+        df.withColumns({MAPPING_ID: rows.mapping_id(space, key, text), WORKSPACE: space}), text
     )
     output = F.struct(
         F.col(MASKED).alias("masked_text"),
@@ -111,7 +107,7 @@ def vault_rows(
         raise ValueError("a mapping can only be joined back later if its id comes from a key")
     space = rows.workspace(workspace)
     out = with_spans(
-        df.select("*", rows.mapping_id(space, key).alias(MAPPING_ID), space.alias(WORKSPACE)),
+        df.select("*", rows.mapping_id(space, key, text).alias(MAPPING_ID), space.alias(WORKSPACE)),
         text,
     )
     return out.where(F.size(SPANS) > 0).select(
@@ -139,7 +135,22 @@ def mask_with_vault(
         df, text, key, workspace, policy, output_field, on_error,
         entities_field=ENTITIES_FIELD, workspace_field=WORKSPACE_FIELD,
     )
-    return both.drop(text) if text in df.columns else both
+    return without_text(both, text)
+
+
+def without_text(df: DataFrame, text: str) -> DataFrame:
+    """Drop the raw text, a column or a field of one, spelled in any way that Spark takes."""
+    strict = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda n: n) if strict else str.lower
+    whole = [c for c in df.columns if fold(c) == fold(text.strip("`"))]
+    if whole:
+        return df.drop(*whole)
+    top, *fields = [part.strip("`") for part in text.split(".")]
+    holders = [c for c in df.columns if fold(c) == fold(top)]
+    if not holders or not fields:
+        raise ValueError(f"{text!r} names no column, so its text cannot be taken out")
+    name = ".".join(f"`{part}`" for part in fields)
+    return df.withColumn(holders[0], F.col(f"`{holders[0]}`").dropFields(name))
 
 
 def take_apart(both: DataFrame, output_field: str = "masked") -> tuple[DataFrame, DataFrame]:

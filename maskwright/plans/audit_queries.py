@@ -11,7 +11,6 @@ from maskwright.operators.mask import mask
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, VISITS, corpus, documents, table, visits
-from maskwright.sources.tables import spread
 
 KEYS = "src, id"
 DOCUMENTS = "SELECT doc_id AS id, text AS t, lang, source FROM documents"
@@ -68,9 +67,8 @@ _ROW = (
 )
 def run_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of a row is scanned, through the row's JSON."""
-    df = spread(
-        table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    ).selectExpr(
+    customers = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    df = customers.selectExpr(
         "c_custkey",
         "c_name",
         "CASE WHEN c_nationkey >= 5 THEN c_mktsegment END AS segment",
@@ -82,6 +80,30 @@ def run_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "row_audit_numbers",
+    o.with_(
+        o.found(
+            "id",
+            "SELECT c_custkey AS id, concat('{\"c_custkey\":', c_custkey, ',\"inn\":', 7700000000 + c_custkey, "
+            "',\"more\":{\"card\":', 4111111111110000 + c_custkey, ',\"half\":0.5}}') AS t FROM customer",
+            ["INN", "CARD"],
+        ),
+        "SELECT id AS c_custkey, category, count(*) AS hits FROM hit GROUP BY id, category",
+    ),
+)
+def run_row_audit_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in double columns, nested ones too, are scanned as they would be typed."""
+    df = table(spark, sf_dir, "customer", "c_custkey").selectExpr(
+        "c_custkey",
+        "cast(7700000000 + c_custkey AS double) AS inn",
+        "named_struct('card', cast(4111111111110000 + c_custkey AS double), 'half', 0.5D) AS more",
+    )
+    return row_audit(df, ["INN", "CARD"]).select("c_custkey", F.explode("pii.found_pii").alias("f")).select(
+        "c_custkey", "f.category", F.col("f.count").cast("bigint").alias("hits")
+    )
+
+
 @query(
     "flag_split",
     o.with_(

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from maskwright.functions import rows
 from maskwright.functions.placeholders import preexisting_placeholder
-from maskwright.operators.arrow import mask_arrow
 from maskwright.operators.mask import mask, mask_entities
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, corpus, documents, table
-from maskwright.sources.tables import spread
 
 KEYS = "src, id"
-CORPUS_ID = "sha256(concat('{\"w\":\"default\",\"k0\":\"', src, '\",\"k1\":', id, '}'))"
+CORPUS_ID = (
+    "sha256(concat('{\"w\":\"default\",\"k0\":\"', src, '\",\"k1\":', id, ',\"t\":\"', "
+    "sha256(t), '\"}'))"
+)
 
 
 def _masked(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -43,14 +44,6 @@ def run_resolve_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# All addresses of a market segment in one text, to count past three digits.
-JOINED = (
-    "SELECT c_mktsegment AS segment, string_agg(mail, ' ' ORDER BY c_custkey) AS t FROM ("
-    "SELECT c_mktsegment, c_custkey, concat('u', cast(c_custkey AS varchar), '@x.ru') AS mail "
-    "FROM customer) GROUP BY c_mktsegment"
-)
-
-
 @query(
     "number_placeholders",
     o.with_(o.spans(KEYS, CORPUS), "SELECT src, id, placeholder, start FROM span"),
@@ -71,7 +64,7 @@ def run_mask_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mask_entities",
     o.with_(
-        o.spans(KEYS, CORPUS),
+        o.spans(f"{KEYS}, t", CORPUS),
         f"SELECT 'default' AS workspace_id, {CORPUS_ID} AS mapping_id, placeholder, category, "
         'raw AS original, start, stop AS "end" FROM span',
     ),
@@ -137,28 +130,21 @@ def run_policy_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "number_past_999",
-    o.with_(
-        o.spans("segment", JOINED),
-        "SELECT segment, placeholder, raw AS original FROM span",
-    ),
+    "SELECT s_suppkey AS id, '<EMAIL_' || CASE WHEN i < 1000 THEN lpad(CAST(i AS VARCHAR), 3, '0') "
+    "ELSE CAST(i AS VARCHAR) END || '>' AS placeholder, "
+    "'u' || s_suppkey || '.' || i || '@x.ru' AS original "
+    "FROM supplier, unnest(range(1, 1002)) AS n(i)",
 )
 def run_number_past_999(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One long text per market segment; at full size each holds thousands of addresses.
-
-    The text itself is the feature under test, so it is put together here. Nothing in the
-    library collects a group like this.
-    """
-    mails = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment").selectExpr(
-        "c_mktsegment AS segment",
-        "struct(c_custkey, concat('u', cast(c_custkey AS string), '@x.ru') AS mail) AS m",
+    """A text of 1,001 addresses for each supplier, put together in its row."""
+    texts = table(spark, sf_dir, "supplier", "s_suppkey").selectExpr(
+        "s_suppkey AS id",
+        "array_join(transform(sequence(1, 1001), i -> "
+        "concat('u', cast(s_suppkey AS string), '.', cast(i AS string), '@x.ru')), ' ') AS t",
     )
-    texts = mails.groupBy("segment").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["mail"]), " ")
-        .alias("t")
+    return mask(texts, "t", ["id"], entities_field="e").select("id", F.inline("e")).select(
+        "id", "placeholder", "original"
     )
-    return mask(texts, "t", ["segment"], entities_field="e").select(
-        "segment", F.inline("e")
-    ).select("segment", "placeholder", "original")
 
 
 # Three kinds of bad rows among good ones: null, empty, and good.
@@ -169,7 +155,7 @@ GAPPY_SQL = f"SELECT c_custkey AS id, {GAPPY} AS t FROM customer"
 
 
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spread(table(spark, sf_dir, "customer", "c_custkey", "c_name"))
+    df = table(spark, sf_dir, "customer", "c_custkey", "c_name")
     return df.selectExpr("c_custkey AS id", f"{GAPPY} AS t")
 
 
@@ -218,7 +204,7 @@ def run_on_error_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows_ = spread(table(spark, sf_dir, "customer")).selectExpr("*", f"{LEAD} AS t")
+    rows_ = table(spark, sf_dir, "customer").selectExpr("*", f"{LEAD} AS t")
     out = mask(rows_, "t", ["c_custkey"])
     return out.select(*rows_.columns, "masked.masked_text")
 
@@ -265,11 +251,3 @@ def run_preexisting_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask(documents(spark, sf_dir), "text", ["doc_id"]).select("doc_id", "masked.masked_text")
-
-
-@query(
-    "mask_arrow",
-    o.with_(o.masked(KEYS, CORPUS), "SELECT src, id, masked_text FROM masked"),
-)
-def run_mask_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mask_arrow(corpus(spark, sf_dir), "t").select("src", "id", "masked.masked_text")

@@ -7,7 +7,10 @@ Overlaps are resolved by a recursive walk over the ordered hits.
 
 from __future__ import annotations
 
-from maskwright.functions.checksums import INN_10, INN_12_FIRST, INN_12_SECOND
+# Fixed values, written out here so that a wrong weight in the operators cannot pass.
+INN_10 = (2, 4, 10, 3, 5, 9, 4, 6, 8)
+INN_12_FIRST = (7, 2, 4, 10, 3, 5, 9, 4, 6, 8)
+INN_12_SECOND = (3, 7, 2, 4, 10, 3, 5, 9, 4, 6, 8)
 
 _OPEN, _CLOSE, _PLUS = r"\x{E000}", r"\x{E001}", "chr(57346)"
 _BLANK = (

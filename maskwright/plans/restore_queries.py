@@ -146,7 +146,7 @@ _WRONG = "id % 7 = 3"  # rows that ask with another workspace's name
 
 def _masked_and_vault(df: DataFrame, workspace: Column | None = None):
     """Both tables of a masked text, from one written scan."""
-    both = mask_with_vault(df.withColumn("raw", F.col("t")), "t", ["id"], workspace)
+    both = mask_with_vault(df, "t", ["id"], workspace)
     return take_apart(stage(both, "masked"))
 
 
@@ -158,7 +158,9 @@ def _vault_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault_rows(leads(spark, sf_dir), "t", ["id"], workspace=F.col("segment"))
 
 
-LEAD_ID = "sha256(concat('{\"w\":\"', segment, '\",\"k0\":', id, '}'))"
+LEAD_ID = (
+    "sha256(concat('{\"w\":\"', segment, '\",\"k0\":', id, ',\"t\":\"', sha256(t), '\"}'))"
+)
 
 
 @query(
@@ -204,7 +206,7 @@ def run_restore_from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mapping_store",
     o.with_(
-        o.spans("id, segment", LEADS),
+        o.spans("id, segment, t", LEADS),
         f"SELECT segment AS workspace_id, {LEAD_ID} AS mapping_id, placeholder, category, "
         "raw AS original, start, stop AS \"end\" FROM span WHERE segment = 'BUILDING'",
     ),
@@ -220,10 +222,10 @@ def run_mapping_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "grouped_mapping",
     o.with_(
-        o.spans("id, segment", LEADS),
+        o.spans("id, segment, t", LEADS),
         f"SELECT segment AS workspace_id, {LEAD_ID} AS mapping_id, "
         "string_agg(placeholder || '=' || raw, ' ' ORDER BY start) AS entities "
-        "FROM span GROUP BY segment, id",
+        "FROM span GROUP BY segment, id, t",
     ),
 )
 def run_grouped_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,9 +273,9 @@ def run_duplicate_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "audit_log",
     o.with_(
-        o.spans("id, segment", LEADS),
+        o.spans("id, segment, t", LEADS),
         f"SELECT segment AS workspace_id, {LEAD_ID} AS mapping_id, category, count(*) AS masked "
-        "FROM span GROUP BY segment, id, category",
+        "FROM span GROUP BY segment, id, t, category",
     ),
 )
 def run_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,14 +286,14 @@ def run_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     "leak_check",
     o.with_(
         o.masked("id", VISITS),
-        "SELECT 'default' AS workspace_id, sha256(concat('{\"w\":\"default\",\"k0\":', id, '}')) "
-        "AS mapping_id, category, placeholder FROM span JOIN masked USING (id) "
+        "SELECT 'default' AS workspace_id, sha256(concat('{\"w\":\"default\",\"k0\":', id, "
+        "',\"t\":\"', sha256(t), '\"}')) AS mapping_id, category, placeholder FROM span JOIN masked USING (id) "
         "WHERE contains(concat(masked_text, CASE WHEN id % 5 = 0 THEN t ELSE '' END), raw)",
     ),
 )
 def run_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some rows are made to leak by adding the raw text again."""
-    masked, vault = _masked_and_vault(visits(spark, sf_dir))
+    masked, vault = _masked_and_vault(visits(spark, sf_dir).withColumn("raw", F.col("t")))
     sent = masked.select(
         F.expr("concat(masked.masked_text, CASE WHEN id % 5 = 0 THEN raw ELSE '' END)").alias(
             "body"

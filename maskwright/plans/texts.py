@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.sources.tables import read_parquet, spread
+from maskwright.sources.tables import read_parquet
 
 
 def _pad(value: str, width: int) -> str:
@@ -55,24 +55,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spread(table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment"))
+    df = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
     return df.selectExpr("c_custkey AS id", "c_mktsegment AS segment", f"{LEAD} AS t")
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spread(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"))
+    df = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     return df.selectExpr("o_orderkey AS id", f"{VISIT} AS t")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in the given tables: src, id, t."""
-    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text"))
-    pages = spread(table(spark, sf_dir, "pages", "page_id", "url", "html"))
-    turns = spread(table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return (
         docs.selectExpr("'documents' AS src", "doc_id AS id", "text AS t")
         .unionByName(leads(spark, sf_dir).selectExpr("'leads' AS src", "id", "t"))

@@ -6,30 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-# Below this many bytes of input per core, spreading the rows costs less than leaving cores idle.
-SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of a scan as the optimizer knows it: file sizes, without reading any file."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores.
-
-    Pattern matching is bound by processors, and a small file is one task. Inputs above a
-    checked size are returned as they are: their file splits are enough, and their texts are
-    never shuffled.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if input_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores)
-
-
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet rows as items, narrowed to the columns in use."""
     df = spark.read.parquet(path)

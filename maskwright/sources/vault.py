@@ -22,10 +22,12 @@ def write_vault(vault: DataFrame, path: str, mode: str = "error") -> None:
     """Write vault rows partitioned by workspace.
 
     The rebalance hint lets Spark size the files and split a workspace that holds most rows,
-    instead of one small file per task and workspace.
+    instead of one small file per task and workspace. Equal texts under one key share an id, and
+    their mapping is written once.
     """
     (
         vault.select("workspace_id", "mapping_id", "entities")
+        .dropDuplicates(["workspace_id", "mapping_id"])
         .hint("rebalance", "workspace_id")
         .write.mode(mode)
         .partitionBy("workspace_id")

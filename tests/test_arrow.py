@@ -3,7 +3,7 @@
 import random
 
 from maskwright import mask
-from maskwright.operators.arrow import mask_arrow
+from tests.arrow_form import mask_arrow
 from tests.test_goldens import MASKED
 from tests.test_long_texts import PIECES
 

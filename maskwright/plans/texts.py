@@ -50,8 +50,14 @@ CORPUS = f"""
 """
 
 
+# A caller with files of one split each may ask for this many tasks; never set by the library.
+PARTITIONS = "spark.maskwright.inputPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
+    df = read_parquet(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
+    partitions = spark.conf.get(PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,9 @@ A byte goes if it lies in a string of ``length`` bytes that also starts earlier
 question for each start is whether its longest match with any earlier start, its previous factor,
 has ``length`` bytes.
 
+Equal texts are one text first, told apart by 128-bit digests: all but its earliest document go as a
+whole, and only that one is worked on.
+
 Starts are dealt out by anchors: an anchor is the least hash of the ``GRAM``-byte strings within a
 start's string. Equal strings have equal anchors, so all their starts meet. Neighbouring starts of
 one anchor are a segment; their strings together have less than twice ``length`` bytes. Anchors are
@@ -21,7 +24,7 @@ smaller position) gives its longest previous factor.
 The bytes to remove go back to their documents as runs, and each document is cut once.
 
 Defined results: a null text is empty. Documents are ordered by id and, where rows repeat an id, by
-a hash of their texts; rows that repeat both count as one document, and each gets its row. A null id
+a digest of their texts; rows that repeat both count as one document, and each gets its row. A null id
 comes before all others. An empty table gives no rows. Other columns are ignored.
 """
 
@@ -47,13 +50,14 @@ HOT = 4096
 TASK_STARTS = 100_000
 NO_ID = -(1 << 63)
 
-ANCHORS = "anchor long, doc long, h long, first int, n int, twice boolean"
+ANCHORS = "anchor long, h long, h2 long, first int, n int, twice boolean"
 SEGMENTS = "anchor long, doc long, h long, first int, n int, bytes binary"
 RUNS = "doc long, h long, start int, stop int"
+SEEN = 100_000
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 FIELDS = {
-    "anchor": pa.int64(), "doc": pa.int64(), "h": pa.int64(), "first": pa.int32(), "n": pa.int32(),
+    "anchor": pa.int64(), "doc": pa.int64(), "h": pa.int64(), "h2": pa.int64(), "first": pa.int32(), "n": pa.int32(),
     "bytes": pa.binary(), "start": pa.int32(), "stop": pa.int32(), "doc_id": pa.int64(),
     "text": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
     "kept_sha256": pa.string(), "twice": pa.bool_(),
@@ -72,11 +76,12 @@ def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def keys_of(batch: pa.RecordBatch) -> tuple[list[int], list[int], list[bytes]]:
+def keys_of(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts and both halves of their digests."""
     texts = [t or b"" for t in batch.column(1).to_pylist()]
-    ids = [NO_ID if i is None else i for i in batch.column(0).to_pylist()]
-    digest = [int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in texts]
-    return ids, digest, texts
+    digest = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts)
+    halves = np.frombuffer(digest, np.int64).reshape(-1, 2)
+    return texts, halves[:, 0], halves[:, 1]
 
 
 def least_grams(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -133,56 +138,71 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
 
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in small_batches(batches, "text", BATCH_BYTES):
-            ids, digest, texts = keys_of(batch)
+            texts, h, h2 = keys_of(batch)
+            if len(seen) > SEEN:
+                seen.clear()
+            for i, key in enumerate(zip(h.tolist(), h2.tolist())):
+                if key in seen:
+                    texts[i] = b""
+                seen.add(key)
             owner, value, first, n, twice = anchors_of(texts, length, gram)
-            yield batch_of(
-                anchor=value,
-                doc=np.array(ids, np.int64)[owner],
-                h=np.array(digest, np.int64)[owner],
-                first=first,
-                n=n,
-                twice=twice,
-            )
+            yield batch_of(anchor=value, h=h[owner], h2=h2[owner], first=first, n=n, twice=twice)
 
     return docs.mapInArrow(run, ANCHORS)
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """The segments whose anchor stands elsewhere, too; equal rows count once."""
+    """The segments whose anchor stands elsewhere, too, in another text or in this one."""
     dealt = found.repartition("anchor")
     several = dealt.groupBy("anchor").agg(
-        F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.min("h").alias("h1"),
-        F.max("h").alias("h2"), F.min("first").alias("f1"), F.max("first").alias("f2"),
-        F.bool_or("twice").alias("twice"),
+        F.min("h").alias("a"), F.max("h").alias("b"), F.min("h2").alias("a2"),
+        F.max("h2").alias("b2"), F.min("first").alias("a3"), F.max("first").alias("b3"),
+        F.bool_or("twice").alias("any"), F.max("n").alias("top"),
     )
-    several = several.where("d1 <> d2 or h1 <> h2 or f1 <> f2 or twice").select("anchor")
-    return dealt.drop("twice").join(several, "anchor")
+    several = several.where("a <> b or a2 <> b2 or a3 <> b3 or any")
+    # Both sides read all columns and have the same filters, so that one exchange serves them.
+    return dealt.join(several, "anchor").select(
+        "h", "h2", F.struct("anchor", "first", "n", "twice", "top").alias("place")
+    )
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """Ids and digests, without texts."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            _, h, h2 = keys_of(batch)
+            yield batch_of(doc=batch.column(0).fill_null(NO_ID), h=h, h2=h2)
+
+    return docs.mapInArrow(run, "doc long, h long, h2 long")
 
 
 def compressed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in small_batches(batches, "text", BATCH_BYTES):
-            ids, digest, texts = keys_of(batch)
+            texts, h, h2 = keys_of(batch)
             yield batch_of(
-                doc_id=batch.column(0), doc=ids, h=digest, text=[pack.compress(t) for t in texts]
-            )
+                doc_id=batch.column(0), doc=batch.column(0).fill_null(NO_ID), h=h, h2=h2,
+                text=[pack.compress(t) for t in texts],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, doc long, h long, text binary")
+    return docs.mapInArrow(run, "doc_id long, doc long, h long, h2 long, text binary")
 
 
-def segments(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """Add their bytes to segments."""
-    places = found.groupBy("doc", "h").agg(F.collect_set(F.struct("anchor", "first", "n")).alias("places"))
-    joined = texts.select("doc", "h", "text").join(places, ["doc", "h"])
+def segments(texts: DataFrame, first: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """Add their bytes to segments, for each text in its earliest document."""
+    places = found.groupBy("h", "h2").agg(F.collect_set("place").alias("places"))
+    joined = texts.join(first.join(places, ["h", "h2"]), ["h", "h2", "doc"]).select("doc", "h", "text", "places")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in small_batches(batches, "text", BATCH_BYTES):
             for i in range(len(batch)):
                 text = unpack.decompress(batch.column(2)[i].as_py())
-                anchor, first, n = batch.column(3)[i].values.flatten()
+                anchor, first, n, *_ = batch.column(3)[i].values.flatten()
                 first, n = first.to_numpy(), n.to_numpy()
                 yield batch_of(
                     anchor=anchor,
@@ -193,7 +213,7 @@ def segments(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
                     bytes=[text[a : a + k + length - 1] for a, k in zip(first.tolist(), n.tolist())],
                 )
 
-    return joined.mapInArrow(run, SEGMENTS).dropDuplicates(["doc", "h", "first"])
+    return joined.mapInArrow(run, SEGMENTS)
 
 
 def first_of_equal(rows: DataFrame, length: int, salts: int) -> DataFrame:
@@ -203,16 +223,17 @@ def first_of_equal(rows: DataFrame, length: int, salts: int) -> DataFrame:
     dealt = rows.repartition("anchor", salt).sortWithinPartitions("anchor", "bytes", "doc", "h", "first")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, place = None, None
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(6)]
             out = []
             for row in zip(*columns):
-                if (row[0], row[5]) == last:
-                    out.append((*row[:5], None, row[3], row[3] + row[4] + length - 1))
-                else:
-                    last = row[0], row[5]
+                if (row[0], row[5]) != last:
+                    last, place = (row[0], row[5]), row[1:4]
                     out.append((*row, None, None))
+                elif row[1:4] != place:
+                    # Rows that repeat a document give its segments again; others are later copies.
+                    out.append((*row[:5], None, row[3], row[3] + row[4] + length - 1))
             names = ["anchor", "doc", "h", "first", "n", "bytes", "start", "stop"]
             yield batch_of(**dict(zip(names, zip(*out) if out else [[]] * 8)))
 
@@ -325,7 +346,8 @@ def remove_later_copies(
         raise ValueError("gram must be a power of two, at most length")
     docs = documents(docs, id_col, text_col)
     texts = compressed(docs)
-    found = segments(texts, repeated(anchors(docs, length, gram)), length)
+    first = stage(identified(docs).groupBy("h", "h2").agg(F.min("doc").alias("doc")), "first-documents")
+    found = segments(texts, first, repeated(anchors(docs, length, gram)), length)
     firsts = stage(first_of_equal(found, length, salts), "segments")
     copies = firsts.where("bytes is null").select("doc", "h", "start", "stop")
     left = firsts.where("bytes is not null").select(*[f.split()[0] for f in SEGMENTS.split(", ")])
@@ -345,11 +367,15 @@ def remove_later_copies(
         unpack = zstandard.ZstdDecompressor()
         for batch in small_batches(batches, "text", BATCH_BYTES):
             rows, rest = [], []
+            later = batch.column(3).to_pylist()
             for i in range(len(batch)):
                 text = unpack.decompress(batch.column(1)[i].as_py())
                 own = batch.column(2)[i]
                 merged: list[list[int]] = []
-                for a, b in sorted(map(tuple, (r.values() for r in own.as_py()))) if own.is_valid else []:
+                spans = [tuple(r.values()) for r in own.as_py()] if own.is_valid else []
+                if later[i] and len(text) >= length:
+                    spans = [(0, len(text))]
+                for a, b in sorted(spans):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
@@ -362,5 +388,11 @@ def remove_later_copies(
             out = batch_of(doc_id=batch.column(0), **dict(zip(names, zip(*rows))))
             yield out.append_column("kept", pa.array(rest, pa.binary())) if keep_text else out
 
-    joined = texts.join(runs, ["doc", "h"], "left").select("doc_id", "text", "runs")
+    # The runs of a text stand with its earliest document; the others are later copies.
+    known = first.withColumnRenamed("doc", "earliest").join(
+        runs.withColumnRenamed("doc", "earliest"), ["h", "earliest"], "left"
+    )
+    joined = texts.join(known, ["h", "h2"]).select(
+        "doc_id", "text", "runs", (F.col("doc") > F.col("earliest")).alias("later")
+    )
     return joined.mapInArrow(cut, RESULT + kept_type)

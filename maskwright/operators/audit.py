@@ -135,9 +135,14 @@ def dataset_audit(
     text: str | Column = "text",
     categories: list[str] | None = None,
     grouping: str = "group",
+    labels: DataFrame | None = None,
+    key: list[str] | None = None,
 ) -> DataFrame:
     """Hits and rows with hits per category, rolled up over table columns.
 
+    ``labels`` may bring columns of ``by``, by ``key``. It is joined to the counts of all rows, not to
+    their texts, and rows without a label are counted with nulls.
+
     ``grouping`` is ``group``, ``rollup`` or ``cube``. Rows are counted before anything moves:
     only small partial sums are shuffled, however uneven the groups are, and the per-category
     columns become rows only after that.
@@ -146,7 +151,12 @@ def dataset_audit(
         raise ValueError(f"grouping must be one of {GROUPINGS}, got {grouping!r}")
     cats = wanted(categories)
     names = [c.name.lower() for c in cats]
-    counted = count_columns(df, text, categories).select(*by, *[f"n_{n}" for n in names])
+    counts = [f"n_{n}" for n in names]
+    counted = count_columns(df, text, categories)
+    if labels is not None:
+        own = [b for b in by if b not in labels.columns]
+        counted = counted.select(*dict.fromkeys([*key, *own]), *counts).join(labels, key, "left")
+    counted = counted.select(*by, *counts)
     sums = [F.sum(f"n_{n}").alias(f"h_{n}") for n in names]
     seen = [F.count_if(F.col(f"n_{n}") > 0).alias(f"r_{n}") for n in names]
     out = counted.groupBy(*by).agg(F.count("*").alias("rows_scanned"), *sums, *seen)

@@ -176,3 +176,20 @@ def run_dataset_audit_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = texts.join(table(spark, sf_dir, "labels"), "doc_id")
     out = dataset_audit(labelled, ["quality", "toxic"], "text")
     return out.select("quality", "toxic", "category", "hits", "rows_with_hits")
+
+
+@query(
+    "dataset_audit_all_labels",
+    o.with_(
+        o.found("id", DOCUMENTS),
+        "SELECT quality, toxic, category, count(*) AS hits, "
+        "count(DISTINCT id) AS rows_with_hits FROM hit LEFT JOIN labels ON labels.doc_id = hit.id "
+        "GROUP BY quality, toxic, category",
+    ),
+)
+def run_dataset_audit_all_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts are scanned; those without labels are a group of their own."""
+    texts = documents(spark, sf_dir).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    out = dataset_audit(texts, ["quality", "toxic"], "text", labels=labels, key=["doc_id"])
+    return out.select("quality", "toxic", "category", "hits", "rows_with_hits")

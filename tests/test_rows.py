@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from maskwright import detect, mask, private_enrich, restore, restore_with_mapping, vault_rows
 from maskwright.functions import rows
 from maskwright.functions.placeholders import pairs_from_json
+from maskwright.operators.audit import dataset_audit
 from maskwright.operators.enrich import private_enrich_column
 
 BAD = [(1, "a@x.ru"), (2, ""), (3, None)]
@@ -155,3 +156,10 @@ def test_model_must_not_be_empty(spark):
         df, "text", F.upper, ["id"], "__custom__", "  ", on_error="keep"
     )
     assert out.first().error == rows.MODEL_EMPTY
+
+
+def test_rows_without_labels_are_audited(spark):
+    docs = spark.createDataFrame([(1, "a@x.ru"), (2, "b@x.ru c@x.ru"), (3, "none")], "id int, text string")
+    labels = spark.createDataFrame([(1, 0)], "id int, quality int")
+    out = dataset_audit(docs, ["quality"], "text", ["EMAIL"], labels=labels, key=["id"])
+    assert sorted(map(tuple, out.collect()), key=repr) == [(0, 1, "EMAIL", 1, 1), (None, 2, "EMAIL", 2, 1)]

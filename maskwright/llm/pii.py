@@ -1,8 +1,9 @@
 """Personal data by fixed patterns, and by contexts learned from what these find.
 
 Four kinds are matched by fixed patterns, in built-in expressions alone. Their matches seed a
-bootstrap. Tokens that hold a digit or an at sign are instances; the one or two words before them
-are lexical patterns. Patterns and instances form a graph, each edge weighed once. In each of
+bootstrap. A fixed match is an instance, whole; elsewhere a token that holds a digit or an at sign is
+one, and so is a run of number tokens with nothing but blanks, brackets, dots and dashes between them.
+The one or two words before the whole instance, numbers too, are lexical patterns. Patterns and instances form a graph, each edge weighed once. In each of
 ``rounds`` a pattern's score for a kind becomes the share of its instances' scores, and an
 instance's score the best of its patterns'; seeds keep theirs. Patterns with a score of ``accept``
 and ``seeds`` seeds at least then mark the instances that they stand before, where no fixed match
@@ -51,6 +52,12 @@ EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[{LABEL}]++(?:\.[{LABEL}]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = rf"(?<![0-9{JOIN}])[0-9][0-9{JOIN}]{{12,}}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
+# The way to a blank that stands between number tokens, from a token's start or the blank before.
+NUMBER = "[0-9][0-9().+-]*+"
+RUN = (
+    rf"((?:\G(?!\A)[0-9().+-]*+|(?<!\S)[^\s0-9@]*+(?<![\p{{L}}_]){NUMBER})) "
+    rf"(?=[ ().+-]*+{NUMBER}[,;:!?\]>\"']*+(?!\S))"
+)
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 
 
@@ -122,31 +129,49 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {kind: F.when(gate, spans()).otherwise(none) for kind, (gate, spans) in found.items()}
 
 
+def last_words(text: Column) -> Column:
+    """The last two words, joined by a blank."""
+    words = F.split(F.trim(F.regexp_replace(text, r"\s+", F.lit(" "))), " ")
+    return bind(words, lambda w: F.concat_ws(" ", F.get(w, F.size(w) - 2), F.element_at(w, -1)))
+
+
 def instances(text: Column) -> Column:
-    """Tokens with a digit or an at sign, without the signs around them, and the words before."""
+    """Tokens with a digit or an at sign, and runs of number tokens, without the signs around them,
+    and the two words before."""
 
-    def one(m: Column) -> Column:
-        front = F.length(m["raw"]) - F.length(F.regexp_replace(m["raw"], "^[\"'(\\[<]+", ""))
-        inner = F.regexp_replace(F.substr(m["raw"], front + 1), "[.,;:!?)\\]>\"']+$", "")
-        words = F.split(F.lower(F.trim(F.regexp_replace(F.right(m["gap"], F.lit(120)), r"\s+", F.lit(" ")))), " ")
-        last = F.element_at(words, -1)
+    def one(words: Column, m: Column) -> Column:
+        raw = F.translate(m["raw"], JOIN, " ")
+        front = F.length(raw) - F.length(F.regexp_replace(raw, "^[\"'(\\[<]+", ""))
+        inner = F.regexp_replace(F.substr(raw, front + 1), "[.,;:!?)\\]>\"']+$", "")
         return F.struct(
             (m["start"] + front).alias("start"),
             (m["start"] + front + F.length(inner)).alias("stop"),
             F.lower(inner).alias("raw"),
-            F.filter(
-                F.array(
-                    F.when(last != "", F.concat(F.lit("1 "), last)),
-                    F.when(F.size(words) > 1, F.concat(F.lit("2 "), F.element_at(words, -2), F.lit(" "), last)),
-                ),
-                lambda p: p.isNotNull(),
-            ).alias("patterns"),
+            F.lower(last_words(F.concat(words, m["gap"]))).alias("words"),
         )
 
-    kind = "array<struct<start:int,stop:int,raw:string,patterns:array<string>>>"
-    return F.when(
-        F.rlike(text, F.lit("[0-9@]")), F.transform(matches(text, TOKEN), one)
-    ).otherwise(F.array().cast(kind))
+    kind = "struct<start:int,stop:int,raw:string,words:string>"
+    joined = F.regexp_replace(F.translate(text, JOIN, "x"), F.lit(RUN), F.lit(f"$1{JOIN}"))
+    placed = running(
+        bind(joined, lambda j: matches(j, TOKEN)),
+        F.lit(""),
+        lambda words, m: last_words(F.concat(words, m["gap"], F.translate(m["raw"], JOIN, " "))),
+        one,
+        kind,
+    )
+    return F.when(F.rlike(text, F.lit("[0-9@]")), placed).otherwise(F.array().cast(f"array<{kind}>"))
+
+
+def patterns_of(words: Column) -> Column:
+    """The last word, and the last two."""
+    both = F.substring_index(words, " ", -2)
+    return F.filter(
+        F.array(
+            F.when(words != "", F.concat(F.lit("1 "), F.substring_index(words, " ", -1))),
+            F.when(F.contains(words, F.lit(" ")), F.concat(F.lit("2 "), both)),
+        ),
+        lambda p: p.isNotNull(),
+    )
 
 
 def meets(a: Column, b: Column) -> Column:
@@ -164,12 +189,39 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """One row per instance in a text, with the kind of the fixed match that it meets, if any."""
-    one = rows.select("doc_id", "h", *KINDS, F.explode("found").alias("x"))
-    seed = F.coalesce(
-        *[F.when(F.exists(F.col(k), lambda s: meets(s, F.col("x"))), F.lit(i)) for i, k in enumerate(KINDS)]
+    """One row per instance in a text: fixed matches, with their kind, and tokens that meet none."""
+
+    def numbered(kind: int) -> Column:
+        return F.transform(
+            KINDS[kind], lambda s: F.struct(F.lit(kind).alias("seed"), s["start"], s["stop"], s["raw"])
+        )
+
+    fixed = reduce(F.concat, map(numbered, range(len(KINDS)))).cast(
+        "array<struct<seed:int,start:int,stop:int,raw:string>>"
+    )
+    one = rows.select("doc_id", "h", fixed.alias("fixed"), F.explode("found").alias("x"))
+    one = one.withColumn("fixed", F.filter("fixed", lambda s: meets(s, F.col("x"))))
+    # Each match stands with the token that it begins in; the first kind goes before the others.
+    begun = F.filter(
+        "fixed",
+        lambda s: (s["start"] >= F.col("x.start"))
+        & ~F.exists("fixed", lambda o: (o["seed"] < s["seed"]) & meets(o, s)),
+    )
+
+    def matched(s: Column) -> Column:
+        front = F.regexp_replace(F.substr(F.col("x.raw"), F.lit(1), s["start"] - F.col("x.start")), "[\"'(\\[<]+$", "")
+        return F.struct(
+            s["start"].alias("start"), s["stop"].alias("stop"),
+            F.lower(F.translate(s["raw"], JOIN, " ")).alias("raw"),
+            last_words(F.concat_ws(" ", F.col("x.words"), front)).alias("words"), s["seed"].alias("seed"),
+        )
+
+    itself = F.struct("x.start", "x.stop", "x.raw", "x.words", F.lit(None).cast("int").alias("seed"))
+    kind = "array<struct<start:int,stop:int,raw:string,words:string,seed:int>>"
+    items = F.when(F.size("fixed") > 0, F.transform(begun, matched).cast(kind)).otherwise(F.array(itself).cast(kind))
+    return one.select("doc_id", "h", F.inline(items)).select(
+        "doc_id", "h", "start", "stop", "raw", patterns_of(F.col("words")).alias("patterns"), "seed"
     )
-    return one.select("doc_id", "h", "x.start", "x.stop", "x.raw", "x.patterns", seed.alias("seed"))
 
 
 def scored_patterns(edges: DataFrame, rounds: int) -> DataFrame:

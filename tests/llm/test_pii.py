@@ -88,3 +88,38 @@ def test_contexts_find_unseen_identifiers(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert find_personal_data(df).count() == 0
+
+
+def test_identifiers_with_blanks(spark):
+    def luhn(i):
+        return next(c for c in (f"4111 1111 11{i:02d} 111{d}" for d in range(10)) if valid("card", c))
+
+    docs = [(i, f"please call now +49 171 23456{i:02d} soon") for i in range(12)]
+    docs += [(20 + i, f"my 2 cards, charge card {luhn(i)}, thanks") for i in range(12)]
+    docs += [
+        (50, "call now 8 495 123 45 67 or later"), (51, "please call now 0171 234 5678."),
+        (52, "call now (0171) 234-56 78, then"), (53, "charge card 4111 1111 1111 1112, thanks"),
+        (54, "call now 12 times"), (55, "x7 " + "word " * 40 + "call now" + " " * 130 + "0171 234 5678"),
+        (56, "call now 0171 234 5678abc"), (57, "call now covid19 2020 31"),
+    ]
+    rows = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    texts = dict(docs)
+
+    def span(kind, i, raw):
+        at = texts[i].index(raw)
+        return f"{kind}:{at}:{at + len(raw)}"
+
+    assert rows[3] == span("phone", 3, "+49 171 2345603")
+    assert rows[50] == span("phone", 50, "8 495 123 45 67")
+    assert rows[51] == span("phone", 51, "0171 234 5678")
+    assert rows[52] == span("phone", 52, "0171) 234-56 78")
+    assert rows[53] == span("card", 53, "4111 1111 1111 1112")
+    assert rows[54] == ""
+    assert rows[55] == span("phone", 55, "0171 234 5678")
+    assert rows[56] == span("phone", 56, "0171 234")
+
+
+def test_a_number_before_an_identifier_is_a_word_of_its_context(spark):
+    docs = [(i, f"room a1 user{i}@mail.example.com") for i in range(8)] + [(20, "room a1 bob77(at)mail9021")]
+    rows = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[20] == f"email:8:{8 + len('bob77(at)mail9021')}"

@@ -11,6 +11,7 @@ from maskwright.llm import sql
 from maskwright.llm.common import table
 from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
+from maskwright.llm.filter_audit import filter_audit
 from maskwright.llm.jaccard_join import jaccard_join
 from maskwright.llm.langid import identify
 from maskwright.llm.lm import score
@@ -69,6 +70,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -80,10 +85,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
     "op6_decontaminate": sql.DECONTAMINATE,
     "op8_warc": sql.WARC,
+    "op13_filter_audit": sql.FILTER_AUDIT,
 }

@@ -48,3 +48,36 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM w LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+FILTER_AUDIT = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+    FROM w LEFT JOIN l USING (doc_id)),
+cell AS (SELECT part, fails, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic FROM d GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT c AS p FROM letters
+      UNION ALL SELECT p || c FROM o JOIN letters ON NOT contains(p, c)),
+s AS (SELECT p AS filter_order, k::INT AS step, p[k] AS c, p[1:k - 1] AS earlier
+      FROM (SELECT p FROM o WHERE length(p) = 5), range(1, 6) AS r(k)),
+m AS (SELECT part, filter_order, step, c,
+             sum(CASE WHEN NOT past AND NOT contains(fails, c) THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN NOT past AND contains(fails, c) THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN past AND contains(fails, c) THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN fails = c THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN NOT past AND contains(fails, c) THEN n_good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN NOT past AND contains(fails, c) THEN n_toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM (SELECT *, length(translate(fails, earlier, '')) < length(fails) AS past FROM cell, s)
+      GROUP BY part, filter_order, step, c)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, c)::BIGINT AS shapley
+FROM m
+"""

@@ -18,6 +18,7 @@ from maskwright.llm.lm import score
 from maskwright.llm.lpf import remove_later_copies
 from maskwright.llm.packing import pack
 from maskwright.llm.pii import find_personal_data
+from maskwright.llm.role_repair import repair_damaged
 from maskwright.llm.token_counts import count_edited, redactions
 from maskwright.llm.warc import warc_round_trip
 
@@ -70,6 +71,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op12_role_repair": op12_role_repair,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -92,5 +98,6 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": sql.EXACT_DEDUP,
     "op6_decontaminate": sql.DECONTAMINATE,
     "op8_warc": sql.WARC,
+    "op12_role_repair": sql.ROLE_REPAIR,
     "op13_filter_audit": sql.FILTER_AUDIT,
 }

@@ -81,3 +81,95 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        sum(removed) OVER (PARTITION BY part, c)::BIGINT AS shapley
 FROM m
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string; one step for each bit."""
+    bit = "xor(x // 2, (x % 2) * 3988292384)"
+    byte = f"list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, k: {bit})"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"(4294967295 - list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda a, b: {byte}))"
+
+
+def _plus(state: str, cost: str, edit: str, line: str) -> str:
+    """A way to a state with one more edit: cost, audit, and the repaired text so far."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', "
+        f"'t': {state}.t || {line}}} END"
+    )
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _turn(*, to: str, keeps: list[str], initial: str, role: str) -> str:
+    """The least way into a state: delete the turn there, or keep or rename it from others."""
+    ways = [_plus(to, "4", "D", "''")]
+    for state in keeps:
+        kept = _plus(state, "3 * truncated", "K", "role || ':' || text || chr(10)")
+        ways.append(f"CASE WHEN NOT must_go AND initial = '{initial}' THEN {kept} END")
+        if role:
+            renamed = _plus(state, "3 + 3 * truncated", "R", f"'{role}:' || text || chr(10)")
+            ways.append(f"CASE WHEN NOT must_go THEN {renamed} END")
+    return _least(*ways)
+
+
+# States: nothing yet (q0), after a system turn (q1), after a user's (q2), after a pair (q3).
+_VALUE = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+
+
+def _inserted(rows: str) -> str:
+    """States after inserts: p2 and p3 beside the others."""
+    users = [_plus(q, "3", "I", "'user:' || chr(10)") for q in ("q0", "q1", "q3")]
+    pair = _plus("p2", "3", "I", "'assistant:' || chr(10)")
+    return f"SELECT *, {_least('q3', pair)} AS p3 FROM (SELECT *, {_least('q2', *users)} AS p2 FROM {rows})"
+
+
+_LAST = "(SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)"
+
+ROLE_REPAIR = f"""
+WITH RECURSIVE hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hashed, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) WHERE k <> 0),
+turns AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           left(role, 1) AS initial, lag(left(role, 1)) OVER
+               (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+           NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen,
+           NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open_end
+    FROM damaged),
+judged AS (
+    SELECT *, blank OR seen AS must_go, (NOT blank AND NOT seen AND open_end)::INT AS truncated FROM turns),
+steps AS (
+    SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': ''}}::{_VALUE} AS q0, NULL::{_VALUE} AS q1,
+           NULL::{_VALUE} AS q2, NULL::{_VALUE} AS q3
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT s.conv_id, s.i + 1, {_plus("q0", "4", "D", "''")},
+           {_turn(to="q1", keeps=["q0"], initial="s", role="")},
+           {_turn(to="p2", keeps=["q0", "q1", "p3"], initial="u", role="user")},
+           {_turn(to="p3", keeps=["p2"], initial="a", role="assistant")}
+    FROM ({_inserted("steps")}) s
+    JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i + 1),
+ended AS (
+    SELECT conv_id, {_least("q0", "p3")} AS best
+    FROM ({_inserted(_LAST)})),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate,
+           sum(truncated)::BIGINT AS truncated,
+           count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(CASE WHEN best.t = '' THEN '' ELSE left(best.t, -1) END) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from maskwright.llm import sql
+from maskwright.llm.automata import remove_repeated_passages
 from maskwright.llm.common import table
 from maskwright.llm.decontaminate import decontaminate
 from maskwright.llm.exact_dedup import exact_dedup
@@ -71,6 +72,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(table(spark, sf_dir, "conversations"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_role_repair": op12_role_repair,
     "op13_filter_audit": op13_filter_audit,
 }

@@ -35,9 +35,11 @@ def hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Words:
     """The words of many texts: their bytes, lengths, hashes, and the text each stands in."""
 
-    def __init__(self, texts: Sequence[bytes | None], inside: np.ndarray) -> None:
+    def __init__(
+        self, texts: Sequence[bytes | None], inside: np.ndarray, folded: bytes | None = LOWER_BYTES
+    ) -> None:
         joined = b" ".join(t or b"" for t in texts) + b" "
-        data = np.frombuffer(joined.translate(LOWER_BYTES), np.uint8)
+        data = np.frombuffer(joined.translate(folded), np.uint8)
         inside = inside[data]
         steps = np.diff(np.concatenate([[False], inside]).astype(np.int8))
         begins, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 256
+_ENTRY = (1 << 31) - 1
 
 
 def evaluated_once(df: DataFrame, columns: Column | dict[str, Column]) -> DataFrame:
@@ -78,3 +79,57 @@ def running(
         )
 
     return bind(items, by_block)
+
+
+def looked_up(
+    items: Column,
+    asked_for: str,
+    after: str,
+    table: Column,
+    key: str,
+    value: str,
+    key_type: str,
+    value_type: str,
+) -> Column:
+    """For each item the first table entry with its key that lies behind a place of its own.
+
+    ``asked_for`` is the field of an item that holds the key (null: no entry), ``after`` the one
+    that holds the place, an index into the table or -1. The result has the fields ``at``, the
+    entry's index or null, and ``value``, in the order of the items.
+
+    Spark looks keys up in maps and arrays by walking them, which is quadratic for many items. Here
+    items and entries are sorted together, entries that lie further back first, and the last entry
+    passed is carried along.
+    """
+    record = f"struct<key:{key_type},place:int,item:int,value:{value_type}>"
+    entries = F.transform(
+        table,
+        lambda e, i: F.struct(
+            e[key].alias("key"), (-i).alias("place"), F.lit(_ENTRY).alias("item"), e[value].alias("value")
+        ).cast(record),
+    )
+    asked = F.transform(
+        items,
+        lambda t, i: F.struct(
+            t[asked_for].alias("key"), (-t[after]).alias("place"), i.alias("item"),
+            F.lit(None).cast(value_type).alias("value"),
+        ).cast(record),
+    )
+    none = F.lit(None).cast(f"struct<key:{key_type},at:int,value:{value_type}>")
+    found_type = f"struct<item:int,at:int,value:{value_type}>"
+
+    def step(last: Column, x: Column) -> Column:
+        entry = F.struct(x["key"].alias("key"), (-x["place"]).alias("at"), x["value"].alias("value"))
+        return F.when(x["item"] == _ENTRY, entry).otherwise(last)
+
+    def emit(last: Column, x: Column) -> Column:
+        same = last["key"] == x["key"]
+        found = F.struct(
+            x["item"].alias("item"), F.when(same, last["at"]).alias("at"),
+            F.when(same, last["value"]).alias("value"),
+        )
+        return F.when(x["item"] < _ENTRY, found)
+
+    # An item sorts before the entry of its own place, which is not behind it.
+    answers = running(F.array_sort(F.concat(entries, asked)), none, step, emit, found_type)
+    return F.array_sort(F.filter(answers, lambda a: a.isNotNull()))

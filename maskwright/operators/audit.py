@@ -9,6 +9,7 @@ from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, Struct
 from maskwright.functions import rows
 from maskwright.functions.arrays import bind, evaluated_once
 from maskwright.functions.catalogue import MAX_SAMPLES, PREEXISTING_RE, wanted
+from maskwright.functions.search import occurring
 from maskwright.operators.detect import count_columns, detect
 from maskwright.operators.restore import with_vault
 
@@ -191,7 +192,8 @@ def leak_check(
     """Placeholders whose original value still occurs in what is about to leave.
 
     A report, not a gate: a short value may occur again inside a longer token that no pattern
-    matched. The values themselves are not returned.
+    matched. The values themselves are not returned. However many values a text has, it is not
+    read once for each: see :func:`maskwright.functions.search.occurring`.
     """
     body, given = rows.as_column(text), rows.as_column(mapping_id)
     space = rows.workspace(workspace)
@@ -206,7 +208,9 @@ def leak_check(
         F.col("__mw_body"),
         ("category", "placeholder", "original"),
     )
-    leaked = F.filter("__mw_entities", lambda e: F.contains(F.col("__mw_body"), e["original"]))
+    seen = occurring(F.col("__mw_body"), F.col("__mw_entities.original"))
+    joined = evaluated_once(joined, {"__mw_seen": seen})
+    leaked = F.filter("__mw_entities", lambda e, i: F.get(F.col("__mw_seen"), i))
     return joined.select(*MAPPING_KEYS, F.inline(leaked)).select(
         *MAPPING_KEYS, "category", "placeholder"
     )

@@ -1,12 +1,15 @@
 """Texts that are long, dense, or built to upset a matcher."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from maskwright import mask, restore
+from maskwright.functions import placeholders, search
 from maskwright.functions.checksums import inn_valid, luhn_valid
+from maskwright.functions.search import occurring
 
 DENSE = 20_000
 
@@ -52,14 +55,85 @@ def test_matcher_survives(spark, text):
     assert all(text[e.start:e.end] == e.original for e in row.e)
 
 
+PAIRS = "array<struct<placeholder:string,original:string>>"
+
+
 def test_restore_many(spark):
-    text = " ".join(f"u{i}@x.ru" for i in range(2000))
+    """Restoring and masking a dense text take about the same time, not one pass per value."""
+    n = 4 * DENSE
+    text = " ".join(f"u{i}@x.ru" for i in range(n))
+    began = time.monotonic()
     row = _mask_one(spark, text)
+    masked_in = time.monotonic() - began
     df = spark.createDataFrame(
         [(row.masked.masked_text, [(e.placeholder, e.original) for e in row.e])],
-        "text string, entities array<struct<placeholder:string,original:string>>",
+        f"text string, entities {PAIRS}",
     )
-    assert restore(df).first().restored.restored_text == text
+    began = time.monotonic()
+    out = restore(df).first().restored
+    assert out.restored_text == text and out.hallucinated == []
+    assert time.monotonic() - began < 30 + 4 * masked_in
+
+
+NAMES = ["<A_001>", "<A_002>", "<B_001>", "<B_1000>", "<C_003>", "<Z_999>"]
+
+
+def _one_by_one(text, pairs):
+    for placeholder, original in pairs:
+        text = text.replace(placeholder, original)
+    return text
+
+
+def test_restoring_at_once_is_restoring_in_turn(spark, monkeypatch):
+    """Pairs that repeat, that hold each other's placeholders, or that grow together."""
+    monkeypatch.setattr(placeholders, "FEW", 0)
+    rng = random.Random(1)
+    rows = []
+    for i in range(2000):
+        plain = [*NAMES, "x", " ", "é😀", "\uE000"]
+        bits = plain + (["<", "A", "_001>", "<A_", "<A_01>", "_0", "\n"] if i % 2 else [])
+        names = NAMES + (["<A_01>", "A"] if i % 2 else [])
+        glue = lambda k: "".join(rng.choices(bits, k=rng.randint(0, k)))  # noqa: B023, E731
+        pairs = [(rng.choice(names), glue(2)) for _ in range(rng.randint(1, 9))]
+        rows.append((glue(12), pairs))
+    chain = [(f"<A_{i:03d}>", f"{i} <A_{i + 1:03d}>") for i in range(60)]
+    rows += [("<A_000>", chain), ("<A_000><A_030>", chain[::-1]), ("", chain), ("<A_059>", chain * 2)]
+    df = spark.createDataFrame(rows, f"t string, e {PAIRS}").select(
+        "t", "e", placeholders.restore_text(F.col("t"), F.col("e")).alias("r"),
+        placeholders._regular(F.col("t"), F.col("e")).alias("at_once"),
+    )
+    got = df.collect()
+    assert sum(r.at_once for r in got) > 1000
+    for r in got:
+        assert r.r == _one_by_one(r.t, [tuple(e) for e in r.e]), r
+
+
+def test_leaks_among_many_values(spark):
+    """80,000 values, every other one in the text; equal values, and values inside others."""
+    n = 4 * DENSE
+    values = [f"u{i}@x.ru" for i in range(n)] + ["@x", "u8@x.ru", "nowhere", ""]
+    body = " ".join(values[:n:2])
+    df = spark.createDataFrame([(body, values)], "t string, v array<string>")
+    began = time.monotonic()
+    got = df.select(occurring(F.col("t"), F.col("v"))).first()[0]
+    assert time.monotonic() - began < 30
+    inside = {f"u{i}@x.ru"[k:] for i in range(0, n, 2) for k in range(6)}
+    assert got[:n] == [v in inside for v in values[:n]]
+    assert got[n:] == [True, True, False, True]
+
+
+def test_leaks_are_what_contains_says(spark, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(search, "DIRECT", 40)
+    bits = ["a", "b", "ab", "é", "😀", " ", "\n", "<", ""]
+    glue = lambda k: "".join(rng.choices(bits, k=rng.randint(0, k)))
+    rows = [
+        (rng.choice([glue(30), glue(3), None]), [rng.choice([glue(4), None]) for _ in range(rng.randint(0, 6))])
+        for _ in range(2000)
+    ]
+    df = spark.createDataFrame(rows, "t string, v array<string>")
+    for t, v, got in df.select("t", "v", occurring(F.col("t"), F.col("v"))).collect():
+        assert got == [None if t is None or x is None else x in t for x in v]
 
 
 PIECES = [

@@ -68,9 +68,9 @@ REQUESTABLE = (
 # of ten or more digits with nothing but separators or plus signs between them. A chain has no
 # digit on either side and every such number lies in one chain, so joining the chains with a
 # character that no number may hold leaves all matches as they are in the text.
-_CHAIN = rf"\+?[0-9](?:[{_BLANK}\-.()+]*+[0-9]){{9,}}+"
-_CHAIN_BREAK = "|"
-_DOTTED = r"[0-9][./][0-9]{1,3}[./][0-9]"
+CHAIN = rf"\+?[0-9](?:[{_BLANK}\-.()+]*+[0-9]){{9,}}+"
+CHAIN_BREAK = "|"
+DOTTED = r"[0-9][./][0-9]{1,3}[./][0-9]"
 
 
 @dataclass(frozen=True)
@@ -106,9 +106,9 @@ CATEGORIES = (
 PLACES = {
     "around_at": lambda text: F.when(F.contains(text, F.lit("@")), text),
     "chains": lambda text: F.nullif(
-        F.array_join(F.regexp_extract_all(text, F.lit(_CHAIN), 0), _CHAIN_BREAK), F.lit("")
+        F.array_join(F.regexp_extract_all(text, F.lit(CHAIN), 0), CHAIN_BREAK), F.lit("")
     ),
-    "dotted": lambda text: F.when(F.rlike(text, F.lit(_DOTTED)), text),
+    "dotted": lambda text: F.when(F.rlike(text, F.lit(DOTTED)), text),
     "scheme": lambda text: F.when(F.contains(text, F.lit("://")), text),
 }
 

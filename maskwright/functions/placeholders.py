@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from maskwright.functions.arrays import bind, looked_up
 from maskwright.functions.catalogue import PLACEHOLDER_RE, PREEXISTING_RE
 
+_MARK = "\uE000"
 PAIR_TYPE = "struct<placeholder:string,original:string>"
 
 
@@ -36,27 +37,66 @@ def pairs_from_json(entities: Column) -> Column:
     """The same from a JSON array.
 
     Null, broken JSON and anything but an array count as an empty list. Elements whose
-    placeholder or original is not a JSON string are dropped, numbers included.
+    placeholder or original is not a JSON string are dropped, numbers included. Of a key that an
+    object repeats the last one counts.
     """
+    return F.coalesce(_usable(listed_json(entities)), no_pairs())
 
-    def text_at(element: Column, field: str) -> Column:
-        value = F.try_variant_get(element, f"$.{field}", "variant")
-        return F.when(
-            F.schema_of_variant(value) == "STRING",
-            F.try_variant_get(element, f"$.{field}", "string"),
-        )
 
-    elements = F.try_variant_get(F.try_parse_json(entities), "$", "array<variant>")
-    listed = F.transform(
-        elements, lambda e: _pair(text_at(e, "placeholder"), text_at(e, "original"))
+def _text_of(value: Column) -> Column:
+    """A variant's text, if it is one."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def listed_json(entities: Column) -> Column:
+    """A pair for each element of a JSON array, with nulls where it has no text; null for no array."""
+
+    def field(element: Column, name: str) -> Column:
+        return _text_of(F.try_variant_get(element, f"$.{name}", "variant"))
+
+    parsed = F.try_variant_get(F.try_parse_json(entities), "$", "array<variant>")
+    plain = F.transform(parsed, lambda e: _pair(field(e, "placeholder"), field(e, "original")))
+
+    # Unless the session allows it (see plans.session), a variant cannot hold an object that repeats a
+    # key. Objects are then read one by one from their text, by a reader that takes the last value of a
+    # key, if it does not repeat keys within that value; loose strings become null first, so that none
+    # can pass for an object.
+    texts = F.from_json(_without_loose_strings(entities), "array<string>")
+    repeated = F.transform(
+        texts,
+        lambda e: bind(
+            F.from_json(F.when(F.startswith(e, F.lit("{")), e), "placeholder variant, original variant"),
+            lambda o: _pair(_text_of(o["placeholder"]), _text_of(o["original"])),
+        ),
+    )
+    # In another pair of brackets a whole list is one element; a broken one, or one with more behind
+    # it, is not.
+    whole = F.json_array_length(F.concat(F.lit("["), entities, F.lit("]"))) == 1
+    is_list = whole & F.json_array_length(entities).isNotNull()
+    return F.when(is_list, F.coalesce(plain, repeated))
+
+
+def _without_loose_strings(json: Column) -> Column:
+    """JSON text in which strings that are neither a key nor the value of one are null."""
+    text = r'"(?:[^"\\]|\\.)*+"'
+    member = rf"({text}\s*+:\s*+(?:{text})?+)"
+    marked = F.regexp_replace(json, rf"{member}|{text}", f"$1{_MARK}")
+    # What was kept is followed by a mark, what was not is a mark alone.
+    kept = F.regexp_replace(marked, rf"{member}{_MARK}", "$1")
+    return F.when(F.contains(json, F.lit(_MARK)), json).otherwise(
+        F.regexp_replace(kept, _MARK, "null")
     )
-    return F.coalesce(_usable(listed), no_pairs())
+
+
+def dropped_elements(entities: Column) -> Column:
+    """How many elements of a JSON array cannot be used."""
+    listed = listed_json(entities)
+    return F.coalesce(F.size(listed) - F.size(_usable(listed)), F.lit(0))
 
 
 # Up to this many pairs are replaced one after the other; both ways give the same text.
 FEW = 16
 
-_MARK = "\uE000"
 _SHAPE = PREEXISTING_RE
 # The beginning of a placeholder that is not finished, at the end or before another placeholder.
 _OPEN = r"<[A-Z]*+(?:_[0-9]*+)?"

@@ -16,7 +16,7 @@ MAPPING_ID_EMPTY = "Mapping ID is required."
 DEFAULT_WORKSPACE = "default"
 SOURCE = "regex"
 
-ON_ERROR = ("fail", "keep")
+ON_ERROR = ("fail", "keep", "skip")
 
 
 def as_column(value: str | Column) -> Column:
@@ -54,21 +54,55 @@ def mapping_id(
     return F.sha2(F.to_json(F.struct(workspace_.alias("w"), *named, body)), 256)
 
 
-def emit(
+def _named(message: Column, key: list[str | Column] | None) -> Column:
+    """The message and the key of the row that it is about."""
+    if not key:
+        return message
+    named = F.struct(*[as_column(k).alias(k if isinstance(k, str) else f"k{i}") for i, k in enumerate(key)])
+    return F.concat(message, F.lit(" Row "), F.to_json(named))
+
+
+def checked(
     df: DataFrame,
-    output_field: str,
-    output: Column,
     problems: list[tuple[Column, str]],
     on_error: str,
+    key: list[str | Column] | None = None,
 ) -> DataFrame:
-    """Add ``output``; rows with a problem end the run or carry an ``error`` text instead."""
+    """The rows without problems: others end the run (``fail``) or are left out (``skip``).
+
+    With ``keep`` all rows stay. The message of an ended run names the key of its first bad row.
+    """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}, got {on_error!r}")
+    if on_error == "keep":
+        return df
     message = F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in problems])
+    # A filter, so that the rows are checked whatever is selected; it reads the text's column.
+    refused = F.lit(False)
     if on_error == "fail":
-        # A filter, so that the rows are checked whatever is selected; it reads the text's column.
-        passes = F.when(message.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
-        return df.where(passes).withColumn(output_field, output)
+        refused = F.raise_error(_named(message, key)).cast("boolean")
+    return df.where(F.when(message.isNotNull(), refused).otherwise(True))
+
+
+def with_text(
+    df: DataFrame, text: str | Column, on_error: str, key: list[str | Column] | None = None
+) -> DataFrame:
+    """:func:`checked` for the one rule of operators that read a text."""
+    return checked(df, [(~is_filled(as_column(text)), TEXT_EMPTY)], on_error, key)
+
+
+def emit(
+    df: DataFrame,
+    output_field: str,
+    output: Column,
+    problems: list[tuple[Column, str]],
+    on_error: str,
+    key: list[str | Column] | None = None,
+) -> DataFrame:
+    """Add ``output``; rows with a problem end the run, are left out, or carry an ``error`` text."""
+    if on_error != "keep":
+        return checked(df, problems, on_error, key).withColumn(output_field, output)
+    message = F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in problems])
     earlier = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     return df.withColumns(
         {

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from maskwright.functions.catalogue import CATEGORIES, PLACEHOLDER_RE, PREEXISTING_RE
+from maskwright.functions.catalogue import (
+    CATEGORIES,
+    CHAIN,
+    CHAIN_BREAK,
+    DOTTED,
+    PLACEHOLDER_RE,
+    PREEXISTING_RE,
+    Category,
+)
 from maskwright.functions.checksums import (
     CARD_DIGITS,
     INN_10,
@@ -26,34 +34,79 @@ def _check(digits: str, weights: tuple[int, ...]) -> str:
     return f"(({total}) % 11 % 10 = {digit(len(weights) + 1)})"
 
 
-def _inn(value: str) -> str:
-    d = f"regexp_replace({value}, '[^0-9]', '')"
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with a name for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _digits_of(value: str) -> str:
+    return f"regexp_replace({value}, '[^0-9]', '')"
+
+
+def _inn(d: str) -> str:
     return (
         f"coalesce(CASE length({d}) WHEN 10 THEN {_check(d, INN_10)} WHEN 12 THEN "
         f"{_check(d, INN_12_FIRST)} AND {_check(d, INN_12_SECOND)} END, false)"
     )
 
 
-def _luhn(value: str) -> str:
-    d = f"regexp_replace({value}, '[^0-9]', '')"
+def _luhn(d: str) -> str:
     return f"coalesce(length({d}) BETWEEN {CARD_DIGITS[0]} AND {CARD_DIGITS[1]} AND luhn_check({d}), false)"
 
 
-_CHECKS = {"INN": _inn, "CARD": _luhn}
+# Matches of numbers hold digits, blanks and dashes only.
+_CHECKS = {"INN": lambda m: _inn(m), "CARD": lambda m: _bound(f"translate({m}, ' -', '')", "d", _luhn("d"))}
+_NONE = "cast(array() AS array<string>)"
+
+
+def _part(place: str) -> str:
+    """The part of a text that a category is looked for in; null where it cannot be."""
+    if place == "chains":
+        chains = f"array_join(regexp_extract_all(text, {literal(CHAIN)}, 0), '{CHAIN_BREAK}')"
+        return f"nullif({chains}, '')"
+    test = {
+        "around_at": "contains(text, '@')",
+        "scheme": "contains(text, '://')",
+        "dotted": f"text RLIKE {literal(DOTTED)}",
+    }[place]
+    return f"CASE WHEN {test} THEN text END"
+
+
+def _matches(category: Category) -> str:
+    """Valid matches of a category in ``text``; null for no text."""
+    found = f"regexp_extract_all(p, {literal(category.regex)}, 0)"
+    if category.name in _CHECKS:
+        found = f"filter({found}, m -> {_CHECKS[category.name]('m')})"
+    return f"CASE WHEN text IS NOT NULL THEN coalesce({_bound(_part(category.place), 'p', found)}, {_NONE}) END"
+
+
 _PAIRS = "array<struct<placeholder:string,original:string>>"
 
 
 def definitions() -> dict[str, str]:
     """Signature and body of each function, by name."""
     out = {
-        "inn_valid": f"(value string) RETURNS boolean RETURN {_inn('value')}",
-        "luhn_valid": f"(value string) RETURNS boolean RETURN {_luhn('value')}",
+        "inn_valid": f"(value string) RETURNS boolean RETURN {_bound(_digits_of('value'), 'd', _inn('d'))}",
+        "luhn_valid": f"(value string) RETURNS boolean RETURN {_bound(_digits_of('value'), 'd', _luhn('d'))}",
     }
     for c in CATEGORIES:
-        found = f"regexp_extract_all(text, {literal(c.regex)}, 0)"
-        if c.name in _CHECKS:
-            found = f"filter({found}, m -> {_CHECKS[c.name]('m')})"
-        out[f"pii_{c.name.lower()}"] = f"(text string) RETURNS array<string> RETURN {found}"
+        out[f"pii_{c.name.lower()}"] = f"(text string) RETURNS array<string> RETURN {_matches(c)}"
+    found = ", ".join(
+        f"named_struct('ord', {c.order}, 'category', '{c.name}', 'found', {_matches(c)})" for c in CATEGORIES
+    )
+    record = "named_struct('ord', c.ord, 'category', c.category, 'nth', i + 1, 'raw', m)"
+    out["pii_found"] = (
+        "(text string) RETURNS array<struct<ord:int,category:string,nth:int,raw:string>> RETURN "
+        f"flatten(transform(array({found}), c -> transform(c.found, (m, i) -> {record})))"
+    )
+    # As a table, to be used laterally: FROM t, LATERAL pii_hits(t.text) h. Spark calls it once for each
+    # different text and joins the answers by the text; SELECT inline(f) FROM (SELECT pii_found(text) f ...)
+    # moves nothing.
+    out["pii_hits"] = (
+        "(text string) RETURNS TABLE (ord int, category string, nth int, raw string) RETURN "
+        f"SELECT c.ord, c.category, m.place + 1, m.raw FROM (SELECT inline(array({found}))) AS c "
+        "LATERAL VIEW posexplode(c.found) m AS place, raw"
+    )
     out["pii_placeholders"] = (
         "(text string) RETURNS array<string> RETURN "
         f"array_distinct(regexp_extract_all(text, {literal(PLACEHOLDER_RE)}, 0))"
@@ -82,13 +135,13 @@ def register_views(
 ) -> list[str]:
     """Create ``<prefix>_detected``, ``_masked``, ``_entities`` and ``_hits`` over a table."""
     from maskwright.operators.detect import detect, hits_long
-    from maskwright.operators.mask import mask, mask_entities
+    from maskwright.operators.mask import mask, mask_entities, without_text
 
     views = {
         "detected": detect(df, text, on_error="keep"),
-        "masked": mask(df, text, key, workspace, on_error="keep").drop(text),
-        "entities": mask_entities(df, text, key, workspace),
-        "hits": hits_long(df, text).drop(text),
+        "masked": without_text(mask(df, text, key, workspace, on_error="keep"), text),
+        "entities": mask_entities(df, text, key, workspace, on_error="skip"),
+        "hits": without_text(hits_long(df, text, on_error="skip"), text),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(f"{prefix}_{name}")

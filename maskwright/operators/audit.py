@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
 from maskwright.functions import rows
 from maskwright.functions.arrays import bind, evaluated_once
@@ -68,7 +68,10 @@ _NUMBER = "\uE002"
 
 
 def _printed(value: Column, kind: DataType) -> Column:
-    """Doubles as text between marks, whole ones without an exponent, at any depth."""
+    """Doubles as text between marks, whole ones without an exponent, at any depth.
+
+    Keys of maps are quoted in JSON anyway, so doubles there are plain text.
+    """
     if isinstance(kind, (DoubleType, FloatType)):
         whole = (F.abs(value) < 1e21) & (value == F.floor(value.cast("decimal(38,6)")))
         text = F.when(whole, value.cast("decimal(22,0)").cast("string")).otherwise(value.cast("string"))
@@ -78,6 +81,13 @@ def _printed(value: Column, kind: DataType) -> Column:
         return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
     if isinstance(kind, ArrayType):
         return F.transform(value, lambda x: _printed(x, kind.elementType))
+    if isinstance(kind, MapType):
+        shown = F.transform_values(value, lambda _, v: _printed(v, kind.valueType))
+        if isinstance(kind.keyType, (DoubleType, FloatType)):
+            shown = F.transform_keys(
+                shown, lambda k, _: F.translate(_printed(k, kind.keyType), _NUMBER, "")
+            )
+        return shown
     return value
 
 
@@ -138,9 +148,12 @@ def dataset_audit(
     grouping: str = "group",
     labels: DataFrame | None = None,
     key: list[str] | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Hits and rows with hits per category, rolled up over table columns.
 
+    Null and empty texts end the run, are left out (``skip``), or are counted as scanned (``keep``).
+
     ``labels`` may bring columns of ``by``, by ``key``. It is joined to the counts of all rows, not to
     their texts, and rows without a label are counted with nulls.
 
@@ -153,7 +166,7 @@ def dataset_audit(
     cats = wanted(categories)
     names = [c.name.lower() for c in cats]
     counts = [f"n_{n}" for n in names]
-    counted = count_columns(df, text, categories)
+    counted = count_columns(df, text, categories, on_error=on_error)
     if labels is not None:
         own = [b for b in by if b not in labels.columns]
         counted = counted.select(*dict.fromkeys([*key, *own]), *counts).join(labels, key, "left")

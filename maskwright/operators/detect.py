@@ -23,17 +23,29 @@ def _valid(category: Category) -> Column:
     return category.keep_valid(F.col(match_column(category)))
 
 
-def hits(df: DataFrame, text: str | Column = "text", categories=None, output_field="hits"):
-    """Add all valid hits with positions, overlapping ones included, in text order."""
-    out = with_matches(df, rows.as_column(text), categories)
+def hits(
+    df: DataFrame,
+    text: str | Column = "text",
+    categories=None,
+    output_field: str = "hits",
+    on_error: str = "fail",
+) -> DataFrame:
+    """Add all valid hits with positions, overlapping ones included, in text order.
+
+    A null or empty text ends the run, is left out (``skip``), or has no hits (``keep``). This holds
+    for all operators here that return rows of hits or counts.
+    """
+    out = with_matches(rows.with_text(df, text, on_error), rows.as_column(text), categories)
     out = evaluated_once(out, {"__mw_hits": hits_in_order(F.col(TEXT), categories)})
     out = out.withColumn(output_field, F.col("__mw_hits"))
     return out.drop(*_working(out))
 
 
-def hits_long(df: DataFrame, text: str | Column = "text", categories=None) -> DataFrame:
+def hits_long(
+    df: DataFrame, text: str | Column = "text", categories=None, on_error: str = "fail"
+) -> DataFrame:
     """One row per valid hit: all input columns plus start, category, raw and end."""
-    out = with_matches(df, rows.as_column(text), categories)
+    out = with_matches(rows.with_text(df, text, on_error), rows.as_column(text), categories)
     out = evaluated_once(out, {"__mw_hits": hits_in_order(F.col(TEXT), categories)})
     out = out.withColumn("__mw_hit", F.explode("__mw_hits"))
     return out.select(
@@ -99,23 +111,32 @@ def detect(
 
 
 def count_columns(
-    df: DataFrame, text: str | Column = "text", categories=None, prefix: str = "n_"
+    df: DataFrame,
+    text: str | Column = "text",
+    categories=None,
+    prefix: str = "n_",
+    on_error: str = "fail",
 ) -> DataFrame:
     """Add one count column per wanted category; the cheapest form, for aggregation."""
     cats = wanted(categories)
-    out = with_matches(df, rows.as_column(text), categories)
+    out = with_matches(rows.with_text(df, text, on_error), rows.as_column(text), categories)
     out = out.withColumns({f"{prefix}{c.name.lower()}": F.size(_valid(c)) for c in cats})
     return out.drop(*_working(out))
 
 
 def detect_counts(
-    df: DataFrame, key: list[str], text: str | Column = "text", categories=None
+    df: DataFrame,
+    key: list[str],
+    text: str | Column = "text",
+    categories=None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """One row per input row and category that occurs: key, category, hits.
 
     The counts of a row are known in the row, so nothing is shuffled.
     """
-    out = with_found(df, rows.as_column(text), categories, include_samples=False)
+    checked = rows.with_text(df, text, on_error, key)
+    out = with_found(checked, rows.as_column(text), categories, include_samples=False)
     out = out.select(*key, F.explode(FOUND).alias("f"))
     return out.select(
         *key,
@@ -125,10 +146,14 @@ def detect_counts(
 
 
 def detect_samples(
-    df: DataFrame, key: list[str], text: str | Column = "text", categories=None
+    df: DataFrame,
+    key: list[str],
+    text: str | Column = "text",
+    categories=None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """First three raw matches per row and category: key, category, rank, sample."""
-    out = with_found(df, rows.as_column(text), categories)
+    out = with_found(rows.with_text(df, text, on_error, key), rows.as_column(text), categories)
     return (
         out.select(*key, F.explode(FOUND).alias("f"))
         .select(*key, "f.category", F.posexplode("f.samples").alias("rank", "sample"))

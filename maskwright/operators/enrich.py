@@ -57,8 +57,8 @@ def private_enrich(
 ) -> DataFrame:
     """Mask, hand ``(mapping_id, model, masked_prompt)`` to ``enrich``, restore its answer.
 
-    ``enrich`` returns ``mapping_id`` and ``masked_response``, one row per id; a row it does
-    not answer gets an empty response. It never sees an original value. Pass
+    ``enrich`` returns ``mapping_id`` and ``masked_response``, one row per id (a second one ends the
+    run, since it would multiply rows); a row it does not answer gets an empty response. It never sees an original value. Pass
     ``sources.staging.stage`` (bound to a session) as ``stage`` to write the masked rows once,
     so that masking is not repeated for the two sides of the join.
     """
@@ -73,8 +73,12 @@ def private_enrich(
         F.col(MODEL).alias("model"),
         F.col(MASKED).alias("masked_prompt"),
     ).distinct()
-    answers = enrich(sent).select(
-        F.col("mapping_id").alias(MAPPING_ID), F.col("masked_response").alias("__mw_answer")
+    several = F.raise_error(F.lit("More than one answer for a mapping id.")).cast("string")
+    answers = (
+        enrich(sent)
+        .groupBy(F.col("mapping_id").alias(MAPPING_ID))
+        .agg(F.first("masked_response").alias("one"), F.count(F.lit(1)).alias("n"))
+        .select(MAPPING_ID, F.when(F.col("n") > 1, several).otherwise(F.col("one")).alias("__mw_answer"))
     )
     joined = out.join(answers, MAPPING_ID, "left")
     answer = F.coalesce(F.col("__mw_answer"), F.lit(""))

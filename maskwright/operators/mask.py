@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from maskwright.functions import rows
 from maskwright.functions.arrays import bind, evaluated_once
@@ -84,7 +85,7 @@ def mask(
         F.lit(rows.SOURCE).alias("source"),
     )
     problems = [(~rows.is_filled(F.col(TEXT)), rows.MASK_TEXT_EMPTY)]
-    out = rows.emit(out, output_field, output, problems, on_error)
+    out = rows.emit(out, output_field, output, problems, on_error, key)
     if entities_field:
         out = out.withColumn(entities_field, entities(F.col(SPANS)))
     if workspace_field:
@@ -97,6 +98,7 @@ def vault_rows(
     text: str | Column = "text",
     key: list[str] | None = None,
     workspace: str | Column | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """The protected side of masking: one row per text that holds personal data.
 
@@ -106,6 +108,7 @@ def vault_rows(
     if not key:
         raise ValueError("a mapping can only be joined back later if its id comes from a key")
     space = rows.workspace(workspace)
+    df = rows.checked(df, [(~rows.is_filled(rows.as_column(text)), rows.MASK_TEXT_EMPTY)], on_error, key)
     out = with_spans(
         df.select("*", rows.mapping_id(space, key, text).alias(MAPPING_ID), space.alias(WORKSPACE)),
         text,
@@ -149,7 +152,20 @@ def without_text(df: DataFrame, text: str) -> DataFrame:
     holders = [c for c in df.columns if fold(c) == fold(top)]
     if not holders or not fields:
         raise ValueError(f"{text!r} names no column, so its text cannot be taken out")
-    name = ".".join(f"`{part}`" for part in fields)
+    # A struct whose last field goes, goes itself.
+    path, kind = [holders[0]], df.schema[holders[0]].dataType
+    depth = 1
+    for part in fields:
+        inner = {fold(f.name): f for f in kind.fields} if isinstance(kind, StructType) else {}
+        if fold(part) not in inner:
+            raise ValueError(f"{text!r} names no column, so its text cannot be taken out")
+        if len(inner) > 1:
+            depth = len(path) + 1
+        path.append(inner[fold(part)].name)
+        kind = inner[fold(part)].dataType
+    if depth == 1:
+        return df.drop(holders[0])
+    name = ".".join(f"`{part}`" for part in path[1:depth])
     return df.withColumn(holders[0], F.col(f"`{holders[0]}`").dropFields(name))
 
 
@@ -175,6 +191,7 @@ def mask_entities(
     text: str | Column = "text",
     key: list[str] | None = None,
     workspace: str | Column | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """One row per masked value, with its placeholder and position."""
-    return mapping_rows(vault_rows(df, text, key, workspace))
+    return mapping_rows(vault_rows(df, text, key, workspace, on_error))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from maskwright.functions import placeholders, rows
 from maskwright.functions.arrays import bind, evaluated_once
@@ -47,29 +47,35 @@ def restore(
     output_field: str = "restored",
     on_error: str = "fail",
 ) -> DataFrame:
-    """Restore from an entity list in the row: an array of records, or the same as JSON text."""
+    """Restore from an entity list in the row: an array of records, or the same as JSON text.
+
+    Records without a text as placeholder or original are left out, so a list of public entities
+    restores nothing.
+    """
     listed = rows.as_column(entities)
     kind = df.select(listed.alias("e")).schema["e"].dataType
-    pairs = (
-        placeholders.pairs_from_json(listed)
-        if isinstance(kind, StringType)
-        else placeholders.pairs_from_array(listed)
-    )
+    if isinstance(kind, StringType):
+        pairs = placeholders.pairs_from_json(listed)
+    else:
+        record = kind.elementType if isinstance(kind, ArrayType) else None
+        texts = {f.name for f in getattr(record, "fields", []) if isinstance(f.dataType, StringType)}
+        usable = {"placeholder", "original"} <= texts
+        pairs = placeholders.pairs_from_array(listed) if usable else placeholders.no_pairs()
     return _emit(restored(df, rows.as_column(text), pairs), output_field, [], on_error)
 
 
 def grouped_mapping(mapping: DataFrame) -> DataFrame:
     """A one-row-per-placeholder mapping as a vault: one row per mapping id.
 
-    Repeated placeholders are dropped before grouping, so a group is never larger than the
-    number of placeholders issued for one text.
+    Rows that repeat each other become one in each task already. Of different originals for a
+    placeholder the first in the text comes first in the list, and so is the one that restoring
+    puts back.
     """
     keys = ["workspace_id", "mapping_id"]
     record = F.struct("start", "category", "placeholder", "original", "end")
     return (
-        mapping.dropDuplicates([*keys, "placeholder"])
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(record)).alias("e"))
+        mapping.groupBy(*keys)
+        .agg(F.array_sort(F.collect_set(record)).alias("e"))
         .select(
             *keys,
             F.transform(
@@ -142,7 +148,19 @@ def restore_with_mapping(
     out = with_vault(
         out, vault, F.col("__mw_given_id"), rows.workspace(workspace), F.col("__mw_body")
     )
+    return restore_joined(out, F.col("__mw_body"), F.col("__mw_given_id"), output_field, on_error)
+
+
+def restore_joined(
+    df: DataFrame,
+    text: str | Column,
+    mapping_id: str | Column,
+    output_field: str,
+    on_error: str,
+) -> DataFrame:
+    """Restore rows that their entities have been joined to, as ``__mw_entities``."""
     pairs = placeholders.pairs_from_array(F.col("__mw_entities"))
-    out = restored(out, F.col("__mw_body"), pairs)
+    out = df.withColumn("__mw_given_id", rows.as_column(mapping_id))
+    out = restored(out, rows.as_column(text), pairs)
     missing = (~rows.is_filled(F.col("__mw_given_id")), rows.MAPPING_ID_EMPTY)
     return _emit(out, output_field, [missing], on_error)

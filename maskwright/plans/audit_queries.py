@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.operators.audit import dataset_audit, flag_split, row_audit, summarise_entities
+from maskwright.operators.audit import dataset_audit, row_audit, summarise_entities
 from maskwright.operators.detect import detect
 from maskwright.operators.mask import mask
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, VISITS, corpus, documents, table, visits
+from maskwright.sources.staging import new_path
+from maskwright.sources.tables import write_routed
 
 KEYS = "src, id"
 DOCUMENTS = "SELECT doc_id AS id, text AS t, lang, source FROM documents"
@@ -86,18 +88,20 @@ def run_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.found(
             "id",
             "SELECT c_custkey AS id, concat('{\"c_custkey\":', c_custkey, ',\"inn\":', 7700000000 + c_custkey, "
-            "',\"more\":{\"card\":', 4111111111110000 + c_custkey, ',\"half\":0.5}}') AS t FROM customer",
+            "',\"more\":{\"card\":', 4111111111110000 + c_custkey, ',\"half\":0.5},\"any\":{\"other\":', "
+            "4111111111120000 + c_custkey, '}}') AS t FROM customer",
             ["INN", "CARD"],
         ),
         "SELECT id AS c_custkey, category, count(*) AS hits FROM hit GROUP BY id, category",
     ),
 )
 def run_row_audit_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers in double columns, nested ones too, are scanned as they would be typed."""
+    """Numbers in double columns, in structs and maps too, are scanned as they would be typed."""
     df = table(spark, sf_dir, "customer", "c_custkey").selectExpr(
         "c_custkey",
         "cast(7700000000 + c_custkey AS double) AS inn",
         "named_struct('card', cast(4111111111110000 + c_custkey AS double), 'half', 0.5D) AS more",
+        "map('other', cast(4111111111120000 + c_custkey AS double)) AS any",
     )
     return row_audit(df, ["INN", "CARD"]).select("c_custkey", F.explode("pii.found_pii").alias("f")).select(
         "c_custkey", "f.category", F.col("f.count").cast("bigint").alias("hits")
@@ -113,11 +117,15 @@ def run_row_audit_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_flag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged, rest = flag_split(detect(corpus(spark, sf_dir), "t", include_samples=False))
-    both = flagged.select("src", F.lit(True).alias("flagged")).unionByName(
-        rest.select("src", F.lit(False).alias("flagged"))
-    )
-    return both.groupBy("src", "flagged").agg(F.count("*").alias("n"))
+    """Both sides are written from one scan, each into a folder of its own."""
+    found = detect(corpus(spark, sf_dir), "t", include_samples=False).drop("t")
+    path = new_path(spark, "split")
+    write_routed(found, path, F.when(F.col("pii.total_count") > 0, "flagged").otherwise("rest"))
+    sides = [
+        spark.read.schema(found.schema).parquet(f"{path}/route={side}").select("src", F.lit(flag).alias("flagged"))
+        for side, flag in (("flagged", True), ("rest", False))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("src", "flagged").agg(F.count("*").alias("n"))
 
 
 def _audit_sql(grouping: str, level: str) -> str:
@@ -166,18 +174,19 @@ def run_dataset_audit_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.with_(
         o.found("id", DOCUMENTS),
         "SELECT quality, toxic, category, count(*) AS hits, "
-        "count(DISTINCT id) AS rows_with_hits FROM hit JOIN labels ON labels.doc_id = hit.id "
+        "count(DISTINCT id) AS rows_with_hits FROM hit LEFT JOIN labels ON labels.doc_id = hit.id "
         "GROUP BY quality, toxic, category",
     ),
 )
 def run_dataset_audit_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts are joined to their labels before the scan, so unlabelled texts are not scanned."""
+    """All texts are scanned; labels are joined to their counts. Unlabelled ones are a group."""
     texts = documents(spark, sf_dir).select("doc_id", "text")
-    labelled = texts.join(table(spark, sf_dir, "labels"), "doc_id")
-    out = dataset_audit(labelled, ["quality", "toxic"], "text")
+    labels = table(spark, sf_dir, "labels")
+    out = dataset_audit(texts, ["quality", "toxic"], "text", labels=labels, key=["doc_id"])
     return out.select("quality", "toxic", "category", "hits", "rows_with_hits")
 
 
+# The same under the name that it had beside the inner join which `dataset_audit_labels` once was.
 @query(
     "dataset_audit_all_labels",
     o.with_(

@@ -11,6 +11,7 @@ from maskwright.operators.mask import mask
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import LEADS, VISITS, leads, table, visits
+from maskwright.sources.staging import stage
 
 _ANSWER = "concat('re: ', {0}, ' cc <PHONE_999>')"
 
@@ -44,7 +45,9 @@ def run_private_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return _flat(
-        private_enrich(leads(spark, sf_dir), "t", answer, ["id"], "__custom__", " my-model ")
+        private_enrich(
+            leads(spark, sf_dir), "t", answer, ["id"], "__custom__", " my-model ", stage=stage
+        )
     )
 
 

@@ -12,7 +12,7 @@ from maskwright.operators.restore import restore_with_mapping
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, LEADS, corpus, leads, table
-from maskwright.sources.staging import new_path, stage
+from maskwright.sources.staging import new_path
 from maskwright.sources.tables import read_csv, write_csv
 from maskwright.sources.vault import read_vault, write_masked
 from maskwright.streaming.audit_stream import stream_audit
@@ -61,16 +61,41 @@ _PII_JSON = (
         o.found("src, id", CORPUS)
         + ", per AS (SELECT src, id, ord, category, count(*) AS n FROM hit "
         "GROUP BY src, id, ord, category)",
-        f"SELECT src, cast(id AS varchar) AS id, {_PII_JSON} AS pii FROM per GROUP BY src, id",
+        f"SELECT src, id, t, {_PII_JSON} AS pii FROM per JOIN src USING (src, id) GROUP BY src, id, t",
     ),
 )
 def run_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagged rows go to CSV. The scan is staged, so that the other rows could be written too."""
-    scanned = detect(corpus(spark, sf_dir), "t", include_samples=False).drop("t")
-    flagged, _ = flag_split(stage(scanned, "scanned"))
+    """Flagged rows go to CSV with their whole texts, line breaks and all."""
+    flagged, _ = flag_split(detect(corpus(spark, sf_dir), "t", include_samples=False))
     path = new_path(spark, "flagged")
-    write_csv(flagged, path)
-    return read_csv(spark, path, "src string, id string, pii string")
+    write_csv(flagged, path, escaped=True)
+    return read_csv(spark, path, "src string, id long, t string, pii string", escaped=True)
+
+
+@query(
+    "csv_documents",
+    o.with_(
+        o.found("id", "SELECT doc_id AS id, text AS t FROM documents"),
+        "SELECT doc_id, text, lang, source, n_chars, coalesce(n, 0) AS hits, "
+        "CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE ' \\n' || chr(13) || chr(10) END AS odd "
+        "FROM documents LEFT JOIN (SELECT id, count(*) AS n FROM hit GROUP BY id) ON id = doc_id",
+    ),
+)
+def run_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV and back, with nulls, empty texts, escapes and a nested column, many tasks each way."""
+    odd = (
+        F.when(F.col("doc_id") % 3 == 0, F.lit(None).cast("string"))
+        .when(F.col("doc_id") % 3 == 1, F.lit(""))
+        .otherwise(F.lit(" \\n\r\n"))
+    )
+    found = detect(table(spark, sf_dir, "documents").withColumn("odd", odd))
+    path = new_path(spark, "documents")
+    write_csv(found, path, escaped=True)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
+    back = read_csv(spark, path, schema, escaped=True)
+    return back.select(
+        "doc_id", "text", "lang", "source", "n_chars", F.col("pii.total_count").cast("bigint").alias("hits"), "odd"
+    )
 
 
 @query(
@@ -118,6 +143,38 @@ def run_stream_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "masked.masked_text", "restored.restored_text")
 
 
+_TURN = "concat('mail c', cast(conv_id AS string), '@x.ru as ', role)"
+_TURNS = f"SELECT conv_id AS id, turn, {_TURN} AS t FROM conversations"
+
+
+@query(
+    "stream_repeated",
+    o.with_(
+        o.masked("id, turn", _TURNS),
+        "SELECT id, turn, masked_text, t AS restored_text, "
+        "(SELECT count(DISTINCT t) FROM src) AS mappings FROM masked",
+    ),
+)
+def run_stream_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of a conversation share key and text, within batches and across: as many rows come back."""
+    arrivals = new_path(spark, "turns")
+    turns = table(spark, sf_dir, "conversations").selectExpr("conv_id AS id", "turn", f"{_TURN} AS t")
+    turns.repartition(4, "turn").write.parquet(arrivals)
+    stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    masked_path, vault_path = new_path(spark, "masked"), new_path(spark, "vault")
+    writer = mask_stream(
+        stream, masked_path, vault_path, new_path(spark, "progress"), "t", ["id"], compact_every=2
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    vault = read_vault(spark, vault_path)
+    out = restore_with_mapping(
+        spark.read.parquet(masked_path), vault, F.col("masked.masked_text"), F.col("masked.mapping_id")
+    )
+    return out.select(
+        "id", "turn", "masked.masked_text", "restored.restored_text", F.lit(vault.count()).alias("mappings")
+    )
+
+
 _EVENT_TEXT = (
     "concat('user u', cast(user_id AS string), '@x.ru at 10.0.', cast(user_id % 300 AS string), "
     "'.1 did ', event_type, ' ', props)"
@@ -184,6 +241,26 @@ def run_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "sql_table_function",
+    o.with_(
+        o.found("src, id", CORPUS),
+        "SELECT src, id, ord, category, row_number() OVER (PARTITION BY src, id, ord ORDER BY start) AS nth, raw "
+        "FROM hit",
+    ),
+)
+def run_sql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One half of the corpus through the table function, the other through the function of arrays."""
+    register_functions(spark)
+    corpus(spark, sf_dir).createOrReplaceTempView("corpus_texts")
+    return spark.sql(
+        "SELECT c.src, c.id, h.ord, h.category, cast(h.nth AS bigint) AS nth, h.raw "
+        "FROM (SELECT * FROM corpus_texts WHERE src <> 'visits') c, LATERAL pii_hits(c.t) h UNION ALL "
+        "SELECT src, id, ord, category, cast(nth AS bigint), raw FROM (SELECT src, id, inline(f) "
+        "FROM (SELECT src, id, pii_found(t) AS f FROM corpus_texts WHERE src = 'visits'))"
+    )
+
+
 @query(
     "sql_views",
     o.with_(

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.functions import rows
 from maskwright.functions.placeholders import preexisting_placeholder
+from maskwright.operators.detect import detect_counts
 from maskwright.operators.mask import mask, mask_entities
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, corpus, documents, table
+from maskwright.sources.staging import new_path
+from maskwright.sources.vault import write_masked
 
 KEYS = "src, id"
 CORPUS_ID = (
@@ -184,15 +190,57 @@ def run_on_error_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "on_error_fail",
+    "SELECT id % 5 AS kind, count(*) FILTER (id % 5 > 1) AS masked, CASE WHEN id % 5 < 2 THEN "
+    f"'{rows.MASK_TEXT_EMPTY}' END AS ended_by, id % 5 < 2 AS names_a_bad_row FROM ({GAPPY_SQL}) GROUP BY ALL",
+)
+def run_on_error_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masking ends at bad rows and names one. Each kind of row is a run of its own."""
+    report = []
+    for kind in range(5):
+        mine = _gappy(spark, sf_dir).where(F.col("id") % 5 == kind)
+        try:
+            report.append((kind, mask(mine, "t", ["id"]).select("masked").count(), None, False))
+        except PySparkException as error:
+            said = str(error)
+            named = re.search(r'Row \{"id":([0-9]+)\}', said)
+            known = rows.MASK_TEXT_EMPTY if rows.MASK_TEXT_EMPTY in said else said
+            report.append((kind, 0, known, named is not None and int(named[1]) % 5 == kind))
+    return spark.createDataFrame(report, "kind long, masked long, ended_by string, names_a_bad_row boolean")
+
+
+@query(
+    "rejects",
+    o.with_(
+        o.masked("id", GAPPY_SQL),
+        "SELECT id, CASE WHEN coalesce(t, '') <> '' THEN masked_text END AS masked_text, "
+        f"CASE WHEN coalesce(t, '') = '' THEN '{rows.MASK_TEXT_EMPTY}' END AS error, "
+        "CASE WHEN coalesce(t, '') = '' THEN count(*) FILTER (coalesce(t, '') = '') OVER () "
+        "ELSE count(*) FILTER (coalesce(t, '') <> '') OVER () END AS alike FROM masked",
+    ),
+)
+def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad rows become a table of their own, from the scan that masks the others; both are counted."""
+    paths = [new_path(spark, n) for n in ("masked", "vault", "rejects")]
+    counts = write_masked(_gappy(spark, sf_dir), *paths[:2], "t", ["id"], rejects_path=paths[2])
+    masked = spark.read.parquet(paths[0]).select(
+        "id", "masked.masked_text", F.lit(None).cast("string").alias("error"),
+        F.lit(counts["masked"]).alias("alike"),
+    )
+    rejected = spark.read.parquet(paths[2]).select(
+        "id", F.lit(None).cast("string").alias("masked_text"), "error", F.lit(counts["rejected"]).alias("alike")
+    )
+    return masked.unionByName(rejected)
+
+
+@query(
+    "skip_bad_rows",
     o.with_(
-        o.masked("id", f"SELECT * FROM ({GAPPY_SQL}) WHERE t <> ''"),
-        "SELECT id, masked_text FROM masked",
+        o.found("id", f"SELECT * FROM ({GAPPY_SQL}) WHERE t <> ''"),
+        "SELECT id, category, count(*) AS hits FROM hit GROUP BY id, category",
     ),
 )
-def run_on_error_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bad rows are taken out before, so nothing ends the run."""
-    good = _gappy(spark, sf_dir).where("t <> ''")
-    return mask(good, "t", ["id"], on_error="fail").select("id", "masked.masked_text")
+def run_skip_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_counts(_gappy(spark, sf_dir), ["id"], "t", on_error="skip")
 
 
 @query(

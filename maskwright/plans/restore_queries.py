@@ -24,6 +24,7 @@ from maskwright.operators.restore import grouped_mapping, restore, restore_with_
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEADS, VISITS, corpus, leads, table, visits
+from maskwright.sources.bucketed import orphan_rows, restore_tables, unused_rows, write_masked_tables
 from maskwright.sources.staging import new_path, stage
 from maskwright.sources.vault import read_vault, write_vault
 
@@ -113,7 +114,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Every shape an entity list may arrive in.
 _GOOD = '{{"placeholder":"<NAME_001>","original":"\', {name}, \'"}}'
 _SHAPES = (
-    "CASE c_custkey % 8 "
+    "CASE c_custkey % 9 "
     "WHEN 0 THEN concat('[{good}]') "
     "WHEN 1 THEN concat('{good}') "
     "WHEN 2 THEN concat('[{good}') "
@@ -121,22 +122,28 @@ _SHAPES = (
     "WHEN 4 THEN NULL "
     "WHEN 5 THEN concat('[{{\"placeholder\":\"<NAME_001>\",\"original\":5}}]') "
     "WHEN 6 THEN concat('  [ {good} , {{\"original\":\"y\"}} ] ') "
+    "WHEN 7 THEN concat('[{{\"placeholder\":\"<NAME_002>\",\"original\":\"old\",\"placeholder\":\"<NAME_001>\","
+    "\"original\":\"a\\\\u0041\\\\n\"}},\"x\",{{\"placeholder\":\"<NAME_003>\"}}]') "
     "ELSE '' END"
 ).format(good=_GOOD.format(name="c_name"))
 
 
 @query(
     "normalise_entities",
-    "SELECT c_custkey AS id, CASE WHEN c_custkey % 8 IN (0, 3, 6) THEN 1 ELSE 0 END AS kept, "
-    "CASE WHEN c_custkey % 8 IN (0, 3, 6) THEN concat('Dear ', c_name) ELSE 'Dear <NAME_001>' "
-    "END AS restored_text FROM customer",
+    "SELECT c_custkey AS id, CASE WHEN k IN (0, 3, 6, 8) THEN 1 ELSE 0 END AS kept, "
+    "CASE k WHEN 3 THEN 5 WHEN 5 THEN 1 WHEN 6 THEN 1 WHEN 8 THEN 2 ELSE 0 END AS dropped, "
+    "CASE WHEN k IN (0, 3, 6) THEN concat('Dear ', c_name) WHEN k = 8 THEN 'Dear aA' || chr(10) "
+    "ELSE 'Dear <NAME_001>' END AS restored_text "
+    "FROM (SELECT c_custkey, c_name, CASE c_custkey % 9 WHEN 7 THEN 8 WHEN 8 THEN 7 ELSE c_custkey % 9 END AS k "
+    "FROM customer)",
 )
 def run_normalise_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _customers(spark, sf_dir).selectExpr(
         "c_custkey AS id", "'Dear <NAME_001>' AS t", f"{_SHAPES} AS entities"
     )
     kept = F.size(placeholders.pairs_from_json(F.col("entities"))).alias("kept")
-    return restore(df, "t").select("id", kept, "restored.restored_text")
+    dropped = placeholders.dropped_elements(F.col("entities")).alias("dropped")
+    return restore(df, "t").select("id", kept, dropped, "restored.restored_text")
 
 
 # ---- the mapping, joined back ------------------------------------------------------------
@@ -234,6 +241,69 @@ def run_grouped_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.select("workspace_id", "mapping_id", F.array_join(listed, " ").alias("entities"))
 
 
+@query(
+    "grouped_mapping_first",
+    o.with_(
+        o.spans("id, t", VISITS),
+        "SELECT id, t || ' ' || raw AS restored_text FROM span JOIN src USING (id, t) "
+        "WHERE placeholder = '<EMAIL_001>'",
+    ),
+)
+def run_grouped_mapping_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every placeholder comes with a second original further back, which does not count."""
+    masked, vault = _masked_and_vault(visits(spark, sf_dir))
+    rows_ = mapping_rows(vault)
+    later = rows_.withColumns({"original": F.lit("wrong"), "start": F.col("start") + 100_000})
+    masked = masked.withColumn("body", F.concat("masked.masked_text", F.lit(" <EMAIL_001>")))
+    out = restore_with_mapping(
+        masked.where("contains(masked.masked_text, '<EMAIL_001>')"), later.unionByName(rows_), "body",
+        F.col("masked.mapping_id"),
+    )
+    return out.select("id", "restored.restored_text")
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Leads as two bucketed tables, in folders of their own."""
+    names = [new_path(spark, n) for n in ("maskedtable", "vaulttable")]
+    tables = [n.rsplit("/", 1)[1].replace("-", "_") for n in names]
+    write_masked_tables(
+        leads(spark, sf_dir), *tables, "t", ["id"], BUCKETS, F.col("segment"), paths=tuple(names)
+    )
+    return spark.table(tables[0]), spark.table(tables[1])
+
+
+BUCKETS = 8
+
+
+@query(
+    "restore_bucketed",
+    o.with_(
+        o.masked("id", LEADS),
+        "SELECT id, segment AS workspace_id, CASE WHEN segment = 'MACHINERY' THEN masked_text ELSE t END "
+        "AS restored_text FROM masked",
+    ),
+)
+def run_restore_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables have one layout; one workspace's mapping is missing."""
+    masked, vault = _tables(spark, sf_dir)
+    out = restore_tables(masked, vault.where("workspace_id <> 'MACHINERY'"))
+    return out.select("id", "workspace_id", "restored.restored_text")
+
+
+@query(
+    "orphans_and_unused_bucketed",
+    f"SELECT CASE WHEN segment = 'MACHINERY' THEN 'orphan' ELSE 'unused' END AS kind, {LEAD_ID} AS mapping_id "
+    f"FROM ({LEADS}) WHERE segment IN ('MACHINERY', 'BUILDING')",
+)
+def run_orphans_and_unused_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked, vault = _tables(spark, sf_dir)
+    left = orphan_rows(masked, vault.where("workspace_id <> 'MACHINERY'"))
+    free = unused_rows(masked.where("workspace_id <> 'BUILDING'"), vault)
+    return left.select(F.lit("orphan").alias("kind"), "mapping_id").unionByName(
+        free.select(F.lit("unused").alias("kind"), "mapping_id")
+    )
+
+
 @query("orphan_masked", f"SELECT id FROM ({LEADS}) WHERE {_WRONG} OR segment = 'MACHINERY'")
 def run_orphan_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = F.when(F.expr(_WRONG), F.lit("ELSEWHERE")).otherwise(F.col("segment"))
@@ -266,7 +336,7 @@ def run_unused_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHERE segment = 'HOUSEHOLD'",
 )
 def run_duplicate_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vault = _vault_leads(spark, sf_dir)
+    vault = stage(_vault_leads(spark, sf_dir), "vault")
     return duplicate_mappings(vault.unionByName(vault.where("workspace_id = 'HOUSEHOLD'")))
 
 

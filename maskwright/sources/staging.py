@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from maskwright.sources.files import remove
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -36,3 +40,13 @@ def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFr
     target = path or new_path(df.sparkSession, name)
     df.write.mode("error").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage", path: str | None = None) -> Iterator[DataFrame]:
+    """A staged table that is deleted at the end, whether what reads it has worked or not."""
+    target = path or new_path(df.sparkSession, name)
+    try:
+        yield stage(df, name, target)
+    finally:
+        remove(df.sparkSession, target)

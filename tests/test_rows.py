@@ -1,13 +1,20 @@
 """Bad rows, passthrough, workspaces and ids."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from maskwright import detect, mask, private_enrich, restore, restore_with_mapping, vault_rows
 from maskwright.functions import rows
-from maskwright.functions.placeholders import pairs_from_json
-from maskwright.operators.audit import dataset_audit
+from maskwright.functions.placeholders import dropped_elements, pairs_from_json
+from maskwright.functions.sql import register_views
+from maskwright.operators.audit import dataset_audit, row_audit, row_json
+from maskwright.operators.detect import count_columns, detect_counts, detect_samples, hits, hits_long
 from maskwright.operators.enrich import private_enrich_column
+from maskwright.operators.mask import mask_entities, without_text
+from maskwright.sources.vault import write_masked
 
 BAD = [(1, "a@x.ru"), (2, ""), (3, None)]
 
@@ -163,3 +170,152 @@ def test_rows_without_labels_are_audited(spark):
     labels = spark.createDataFrame([(1, 0)], "id int, quality int")
     out = dataset_audit(docs, ["quality"], "text", ["EMAIL"], labels=labels, key=["id"])
     assert sorted(map(tuple, out.collect()), key=repr) == [(0, 1, "EMAIL", 1, 1), (None, 2, "EMAIL", 2, 1)]
+
+
+def _json_pairs(text):
+    """What a JSON reader that keeps the last value of a repeated key makes of a list."""
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return None
+    if not isinstance(found, list):
+        return None
+    out = []
+    for e in found:
+        p, o = (e.get("placeholder"), e.get("original")) if isinstance(e, dict) else (None, None)
+        out.append((p, o) if isinstance(p, str) and isinstance(o, str) and p else None)
+    return out
+
+
+@pytest.mark.parametrize("allowed", ["true", "false"])
+def test_entity_lists_are_read_as_json_is(spark, allowed):
+    """With the setting, and without it (then objects within objects do not repeat keys)."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", allowed)
+    rng = random.Random(8)
+    names = ["placeholder", "original", "x", "origin\\u0061l"]
+
+    def value(depth):
+        kinds = ['"<A_001>"', '"a\\n\\"b\\\\"', '"é\\u0041"', '"{\\"placeholder\\":\\"p\\",\\"original\\":\\"o\\"}"',
+                 "1", "null", "true", '""']
+        if depth and rng.random() < 0.3:
+            return rng.choice([member(depth - 1), f"[{value(depth - 1)}, {value(depth - 1)}]"])
+        return rng.choice(kinds)
+
+    def member(depth):
+        if not depth and allowed == "false":
+            return '{"original": "x", "y": 1}'
+        pairs = [f'"{rng.choice(names)}"{rng.choice([":", " : "])}{value(depth)}' for _ in range(rng.randint(0, 5))]
+        return "{" + rng.choice([",", " , "]).join(pairs) + "}"
+
+    texts = []
+    for _ in range(1500):
+        inner = ",".join(rng.choice([member, member, value])(1) for _ in range(rng.randint(0, 4)))
+        texts.append(rng.choice(["[{}]", " [{}] ", "[{}]", "{}", "[{}"]).format(inner))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", pairs_from_json(F.col("t")).alias("p"), dropped_elements(F.col("t")).alias("n")
+    )
+    for t, pairs, dropped in df.collect():
+        want = _json_pairs(t)
+        assert [tuple(p) for p in pairs] == [p for p in want or [] if p], t
+        assert dropped == sum(p is None for p in want or []), t
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def test_public_entities_restore_nothing(spark):
+    df = spark.createDataFrame([(1, "a@x.ru")], "id int, text string")
+    masked = mask(df, "text", ["id"]).withColumn("body", F.col("masked.masked_text"))
+    got = restore(masked, "body", F.col("masked.entities")).first().restored
+    assert got.restored_text == "<EMAIL_001>" and got.hallucinated == ["<EMAIL_001>"]
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda d, **o: vault_rows(d, "text", ["id"], **o),
+        lambda d, **o: mask_entities(d, "text", ["id"], **o),
+        lambda d, **o: hits(d, **o),
+        lambda d, **o: hits_long(d, **o),
+        lambda d, **o: count_columns(d, **o),
+        lambda d, **o: detect_counts(d, ["id"], **o),
+        lambda d, **o: detect_samples(d, ["id"], **o),
+        lambda d, **o: dataset_audit(d, ["id"], **o),
+    ],
+)
+def test_every_operator_refuses_bad_rows(bad, run):
+    with pytest.raises(Exception, match="Text is empty"):
+        run(bad).collect()
+    assert {r[0] for r in run(bad, on_error="skip").select("*").collect()} == {
+        r[0] for r in run(bad.where("id = 1")).collect()
+    }
+    assert run(bad, on_error="keep").count() >= 1
+
+
+def test_message_names_the_bad_row(bad):
+    with pytest.raises(Exception, match=r'Row \{"id":2\}'):
+        mask(bad.where("id < 3"), "text", ["id"]).collect()
+
+
+def test_second_answers_end_the_run(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, text string")
+
+    def twice(sent):
+        one = sent.selectExpr("mapping_id", "masked_prompt AS masked_response")
+        return one.unionByName(one)
+
+    with pytest.raises(Exception, match="More than one answer"):
+        private_enrich(df, "text", twice, ["id"], model="m").collect()
+
+
+SECRET = "mail a@x.ru now"
+
+
+@pytest.mark.parametrize(
+    "kind, left",
+    [("struct<text:string>", ["id"]), ("struct<text:string,n:int>", ["id", "payload"]),
+     ("struct<Text:string,n:int>", ["id", "payload"])],
+)
+def test_no_raw_text_in_views_and_masked_tables(spark, tmp_path, kind, left):
+    values = (1, (SECRET,) if "n:int" not in kind else (SECRET, 5))
+    df = spark.createDataFrame([values], f"id int, payload {kind}")
+    views = register_views(df, "v", "payload.text", ["id"])
+    for view in views:
+        if view in ("v_masked", "v_hits"):
+            assert SECRET not in str(spark.table(view).collect())
+    folders = [str(tmp_path / n) for n in "mv"]
+    counts = write_masked(df, *folders, "payload.text", ["id"], stage_path=str(tmp_path / "stage"))
+    masked = spark.read.parquet(str(tmp_path / "m"))
+    assert masked.columns == [*left, "masked"] and SECRET not in str(masked.collect())
+    assert counts == {"masked": 1, "rejected": 0}
+    # The staged table, which holds originals, is gone.
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["m", "v"]
+
+
+def test_one_field_structs_in_structs(spark):
+    df = spark.createDataFrame([(1, ((SECRET,), 2))], "id int, p struct<q:struct<t:string>,n:int>")
+    assert without_text(df, "p.q.t").schema.simpleString() == "struct<id:int,p:struct<n:int>>"
+    with pytest.raises(ValueError):
+        without_text(df, "p.q.u")
+
+
+def test_first_original_counts(spark):
+    rows_ = [("w", "i", "<A_001>", "A", o, s, s + 1) for o, s in (("late", 9), ("first", 2), ("first", 2))]
+    mapping = spark.createDataFrame(
+        rows_, "workspace_id string, mapping_id string, placeholder string, category string, original string, "
+        "start int, `end` int",
+    )
+    df = spark.createDataFrame([("<A_001>", "i", "w")], "text string, mapping_id string, w string")
+    out = restore_with_mapping(df, mapping, workspace=F.col("w")).first().restored
+    assert out.restored_text == "first"
+
+
+def test_doubles_in_maps_are_audited(spark):
+    df = spark.sql(
+        "SELECT map('a', 4111111111111111.0D) AS m, map(4111111111111111.0D, array(1.5D)) AS k, "
+        "map('a', named_struct('x', 7707083893.0D)) AS s, cast(NULL AS map<string,double>) AS none"
+    )
+    text = df.select(row_json(df)).first()[0]
+    assert json.loads(text) == {
+        "m": {"a": 4111111111111111}, "k": {"4111111111111111": [1.5]}, "s": {"a": {"x": 7707083893}}, "none": None,
+    }
+    found = {f.category: f["count"] for f in row_audit(df).first().pii.found_pii}
+    assert found == {"CARD": 2, "INN": 1}

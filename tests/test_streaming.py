@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from maskwright import detect, mask
 from maskwright.operators.audit import duplicate_mappings
-from maskwright.sources.vault import read_vault
+from maskwright.operators.restore import restore_with_mapping
+from maskwright.sources.files import children
+from maskwright.sources.vault import compact_vault, read_vault
 from maskwright.streaming.mask_stream import mask_stream
 
 
@@ -70,3 +72,58 @@ def test_row_operators_work_on_streams_as_they_are(spark, arrivals):
     query.awaitTermination()
     want = detect(spark.read.parquet(arrivals), "t").agg(F.sum("pii.total_count")).first()[0]
     assert spark.table("found").agg(F.sum("total_count")).first()[0] == want
+
+
+REPEATED = [(i % 5, f"mail u{i % 5}@x.ru") for i in range(60)] + [(9, "none"), (9, "none")]
+
+
+@pytest.fixture
+def repeated(spark, tmp_path):
+    """Rows that share key and text, within files and across them."""
+    folder = str(tmp_path / "in")
+    spark.createDataFrame(REPEATED, "id int, t string").repartition(6).write.parquet(folder)
+    return folder
+
+
+@pytest.mark.parametrize("every", [None, 1, 2, 4])
+def test_repeated_rows_come_back_as_often_as_they_came(spark, repeated, tmp_path, every):
+    out, vault, progress = (str(tmp_path / n) for n in ("masked", "vault", "progress"))
+
+    def once():
+        stream = _stream(spark, repeated)
+        _run(mask_stream(stream, out, vault, progress, "t", ["id"], compact_every=every))
+        back = restore_with_mapping(
+            spark.read.parquet(out), read_vault(spark, vault), "masked.masked_text", "masked.mapping_id"
+        )
+        return sorted((r.id, r.restored.restored_text) for r in back.collect())
+
+    assert once() == sorted(REPEATED)
+    assert read_vault(spark, vault).count() == 5
+    # All batches run again: merged ones are not read twice.
+    shutil.rmtree(progress)
+    assert once() == sorted(REPEATED)
+    assert read_vault(spark, vault, "default").count() == 5
+    compact_vault(spark, vault)
+    compact_vault(spark, vault)
+    assert len(children(spark, vault)) == 1 and read_vault(spark, vault).count() == 5
+    assert once() == sorted(REPEATED)
+
+
+def test_broken_off_merge_does_not_count(spark, repeated, tmp_path):
+    out, vault = str(tmp_path / "masked"), str(tmp_path / "vault")
+    _run(mask_stream(_stream(spark, repeated), out, vault, str(tmp_path / "c"), "t", ["id"]))
+    before = sorted(map(str, read_vault(spark, vault).collect()))
+    # A merge that wrote some files and ended: no mark of success.
+    read_vault(spark, vault).limit(1).write.partitionBy("workspace_id").parquet(f"{vault}/merged_upto=3")
+    (tmp_path / "vault" / "merged_upto=3" / "_SUCCESS").unlink()
+    assert sorted(map(str, read_vault(spark, vault).collect())) == before
+    compact_vault(spark, vault)
+    assert sorted(map(str, read_vault(spark, vault).collect())) == before
+
+
+def test_vault_of_nothing(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([(1, "none")], "id int, t string").write.parquet(folder)
+    out, vault = str(tmp_path / "masked"), str(tmp_path / "vault")
+    _run(mask_stream(_stream(spark, folder), out, vault, str(tmp_path / "c"), "t", ["id"], compact_every=1))
+    assert read_vault(spark, vault).count() == 0

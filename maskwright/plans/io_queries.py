@@ -15,7 +15,7 @@ from maskwright.plans.texts import CORPUS, LEAD, LEADS, corpus, leads, table
 from maskwright.sources.staging import new_path
 from maskwright.sources.tables import read_csv, write_csv
 from maskwright.sources.vault import read_vault, write_masked
-from maskwright.streaming.audit_stream import stream_audit
+from maskwright.streaming.audit_stream import audit_to_table, read_audit, stream_audit
 from maskwright.streaming.mask_stream import mask_stream
 
 
@@ -219,6 +219,36 @@ def run_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(path)
 
 
+_LATE = "FLOOR(event_id / 2) % 3 = 0"
+
+
+@query(
+    "stream_audit_late",
+    o.with_(
+        o.found("id", _EVENTS)
+        + f", seen AS (SELECT event_id AS id, ts, {_LATE} AS second FROM events)"
+        + ", mark AS (SELECT max(ts) FILTER (NOT second) - INTERVAL 10 MINUTE AS first_mark, "
+        "max(ts) - INTERVAL 10 MINUTE AS last_mark FROM seen)"
+        + ", timed AS (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR "
+        "AS window_end, category, id, second FROM hit JOIN seen USING (id))",
+        "SELECT window_start, window_end, category, count(*) FILTER (NOT late) AS hits, "
+        "count(DISTINCT id) FILTER (NOT late) AS rows_with_hits, count(*) FILTER (late) AS late_hits, "
+        "count(DISTINCT id) FILTER (late) AS late_rows, window_end <= max(last_mark) AS closed "
+        "FROM (SELECT *, second AND window_end <= first_mark AS late FROM timed, mark) GROUP BY ALL",
+    ).replace("GROUP BY ALL", "GROUP BY window_start, window_end, category"),
+)
+def run_stream_audit_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the events arrives after the rest: each is counted, in time or late, in its window."""
+    arrivals, path, progress = (new_path(spark, n) for n in ("arrivals", "audit", "progress"))
+    events = table(spark, sf_dir, "events")
+    for late in (False, True):
+        events.where(F.expr(_LATE) == late).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(events.schema).parquet(arrivals)
+        writer = audit_to_table(stream, path, progress, "ts", F.expr(_EVENT_TEXT), window="1 hour")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return read_audit(spark, path)
+
+
 @query(
     "sql_functions",
     o.with_(

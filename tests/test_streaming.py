@@ -10,6 +10,7 @@ from maskwright.operators.audit import duplicate_mappings
 from maskwright.operators.restore import restore_with_mapping
 from maskwright.sources.files import children
 from maskwright.sources.vault import compact_vault, read_vault
+from maskwright.streaming.audit_stream import audit_to_table, read_audit, stream_audit
 from maskwright.streaming.mask_stream import mask_stream
 
 
@@ -127,3 +128,50 @@ def test_vault_of_nothing(spark, tmp_path):
     out, vault = str(tmp_path / "masked"), str(tmp_path / "vault")
     _run(mask_stream(_stream(spark, folder), out, vault, str(tmp_path / "c"), "t", ["id"], compact_every=1))
     assert read_vault(spark, vault).count() == 0
+
+
+EVENTS = [
+    [("10:05", "a@x.ru"), ("10:20", "a@x.ru b@x.ru"), ("11:40", "none")],
+    [("10:30", "late@x.ru 10.0.0.1"), ("11:10", "in@x.ru"), ("12:50", "c@x.ru")],
+    [("10:01", "late@x.ru"), ("11:59", "late@x.ru"), ("12:01", "in@x.ru")],
+    [("09:00", "late@x.ru")],
+]
+
+
+def test_late_rows_are_counted_per_window(spark, tmp_path):
+    """Watermarks are 11:30, 12:40 and 12:40 at the second, third and fourth batch."""
+    folder, path, progress = (str(tmp_path / n) for n in ("in", "audit", "progress"))
+    plain = str(tmp_path / "plain")
+
+    def arrive(upto):
+        for rows_ in EVENTS[upto - 1 : upto]:
+            timed = [(f"2026-01-01 {t}:00", x) for t, x in rows_]
+            df = spark.createDataFrame(timed, "at string, text string").selectExpr("cast(at AS timestamp) at", "text")
+            df.coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema("at timestamp, text string").parquet(folder)
+        _run(audit_to_table(stream, path, progress, "at", window="1 hour"))
+        counts = stream_audit(stream, "at", window="1 hour")
+        _run(
+            counts.writeStream.format("parquet").outputMode("append").option("path", plain)
+            .option("checkpointLocation", str(tmp_path / "plain-progress"))
+        )
+
+    for upto in range(1, 5):
+        arrive(upto)
+    read = lambda: {
+        (r.window_start.hour, r.category): (r.hits, r.rows_with_hits, r.late_hits, r.late_rows, r.closed)
+        for r in read_audit(spark, path).collect()
+    }
+    want = {
+        (9, "EMAIL"): (0, 0, 1, 1, True),
+        (10, "EMAIL"): (3, 2, 2, 2, True),
+        (10, "IP"): (0, 0, 1, 1, True),
+        (11, "EMAIL"): (1, 1, 1, 1, True),
+        (12, "EMAIL"): (2, 2, 0, 0, False),
+    }
+    assert read() == want
+    # Closed windows have what Spark's own watermark lets through.
+    own = spark.read.parquet(plain).collect()
+    assert {(r.window_start.hour, r.category): r.hits for r in own} == {
+        k: v[0] for k, v in want.items() if v[4] and v[0]
+    }

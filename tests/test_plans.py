@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from maskwright import audit_log, dataset_audit, detect, mask, restore_with_mapping, vault_rows
+from maskwright.functions.sql import definitions
 from maskwright.plans import QUERIES
 from maskwright.sources.vault import read_vault, write_vault
 
@@ -94,6 +96,31 @@ def test_no_query_deals_rows_out_by_size(spark, sf_dir):
             assert "RoundRobin" not in plan_of(run(spark, sf_dir)), name
 
 
+@pytest.mark.parametrize("name", ["flag_split", "private_enrich", "duplicate_mappings", "csv_sink"])
+def test_sources_are_read_once_for_several_outputs(spark, sf_dir, name, monkeypatch):
+    """Of a query and all that it writes on its way no plan reads a given table twice."""
+    plans = []
+
+    def noted(save):
+        def run(writer, *args, **options):
+            plans.append(plan_of(writer._df))
+            return save(writer, *args, **options)
+
+        return run
+
+    for kind in ("parquet", "csv"):
+        monkeypatch.setattr(DataFrameWriter, kind, noted(getattr(DataFrameWriter, kind)))
+    plans.append(plan_of(QUERIES[name](spark, sf_dir)))
+    tables = re.findall(rf"{re.escape(sf_dir)}/(\w+)\.parquet", "".join(plans))
+    # The corpus has five tables, read by one write; the others read customers alone.
+    assert len(tables) == len(set(tables)) and len(tables) in (1, 5), tables
+
+
+def test_checksums_bind_their_digits(spark):
+    for body in definitions().values():
+        assert body.count("regexp_replace(") <= 1
+
+
 def test_a_mapping_shared_by_a_third_of_all_rows_is_split(spark, tmp_path):
     """With many rows on one mapping id the join is run as a skew join."""
     settings = {

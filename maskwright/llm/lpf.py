@@ -155,7 +155,9 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def repeated(found: DataFrame) -> DataFrame:
     """The segments whose anchor stands elsewhere, too, in another text or in this one."""
-    dealt = found.repartition("anchor")
+    # Later joins would put tests for null under one of the two readers of this exchange, and it
+    # would then be written twice. With the tests here both readers have the same ones.
+    dealt = found.where("anchor IS NOT NULL AND h IS NOT NULL AND h2 IS NOT NULL").repartition("anchor")
     several = dealt.groupBy("anchor").agg(
         F.min("h").alias("a"), F.max("h").alias("b"), F.min("h2").alias("a2"),
         F.max("h2").alias("b2"), F.min("first").alias("a3"), F.max("first").alias("b3"),

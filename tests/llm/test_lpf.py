@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from maskwright.llm import lpf
 from maskwright.llm.lpf import previous_factors, remove_later_copies
 
 
@@ -84,3 +85,19 @@ def test_previous_factors(seed):
                 best = max(best, 6 if same.all() else int(same.argmin()))
         want.append(best)
     assert previous_factors(strings, group, position).tolist() == want
+
+
+def test_anchors_are_shuffled_once(spark, sf_dir):
+    """The plan up to the segments, with the joins that come later: one exchange serves both readers."""
+    docs = lpf.documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    first = lpf.stage(lpf.identified(docs).groupBy("h", "h2").agg(lpf.F.min("doc").alias("doc")), "first")
+    found = lpf.segments(lpf.compressed(docs), first, lpf.repeated(lpf.anchors(docs, 100, 16)), 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = lpf.first_of_equal(found, 100, 16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = [line.lstrip(" :+-") for line in plan.splitlines()]
+    dealt = [line for line in lines if line.startswith("Exchange") and "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 2 and sum("ReusedExchange" in line for line in lines) == 1
+    assert sum(line.startswith("MapInArrow run(doc_id") for line in lines) == 2

@@ -13,10 +13,11 @@ one anchor are a segment; their strings together have less than twice ``length``
 counted by hash, and where one occurs once nothing more is done. The segments of the others are cut
 out of the texts, which are sent compressed.
 
-Copies are taken out in two steps: by anchor and salt, then by anchor. Of segments with equal bytes
-all but the earliest are later copies as a whole, so a passage that very many documents share leaves
-one segment for each salt. Anchors with more than ``HOT`` different segments are dealt out once more
-by the bytes of each single start. What is left of an anchor is worked off in one task: the starts'
+Of segments with equal bytes all but the earliest are later copies as a whole. For anchors that stand more
+than ``HOT`` times copies are taken out by anchor and salt first, so a passage that very many documents
+share leaves one segment for each salt; if more than ``HOT`` different segments are left, they are dealt
+out once more by the bytes of each single start. All others are dealt out once, by anchor. An anchor is
+worked off in one task: copies go, and of what is left the starts'
 strings are sorted, the longest common prefixes of neighbours are taken, and for each start the
 nearest one before and after it in suffix order that is earlier in the corpus (previous and next
 smaller position) gives its longest previous factor.
@@ -52,6 +53,7 @@ NO_ID = -(1 << 63)
 
 ANCHORS = "anchor long, h long, h2 long, first int, n int, twice boolean"
 SEGMENTS = "anchor long, doc long, h long, first int, n int, bytes binary"
+FOUND = f"{SEGMENTS}, often boolean"
 RUNS = "doc long, h long, start int, stop int"
 SEEN = 100_000
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -60,7 +62,7 @@ FIELDS = {
     "anchor": pa.int64(), "doc": pa.int64(), "h": pa.int64(), "h2": pa.int64(), "first": pa.int32(), "n": pa.int32(),
     "bytes": pa.binary(), "start": pa.int32(), "stop": pa.int32(), "doc_id": pa.int64(),
     "text": pa.binary(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(),
-    "kept_sha256": pa.string(), "twice": pa.bool_(),
+    "kept_sha256": pa.string(), "twice": pa.bool_(), "often": pa.bool_(),
 }
 
 
@@ -153,7 +155,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, ANCHORS)
 
 
-def repeated(found: DataFrame) -> DataFrame:
+def repeated(found: DataFrame, hot: int = HOT) -> DataFrame:
     """The segments whose anchor stands elsewhere, too, in another text or in this one."""
     # Later joins would put tests for null under one of the two readers of this exchange, and it
     # would then be written twice. With the tests here both readers have the same ones.
@@ -162,11 +164,12 @@ def repeated(found: DataFrame) -> DataFrame:
         F.min("h").alias("a"), F.max("h").alias("b"), F.min("h2").alias("a2"),
         F.max("h2").alias("b2"), F.min("first").alias("a3"), F.max("first").alias("b3"),
         F.bool_or("twice").alias("any"), F.max("n").alias("top"),
+        (F.count(F.lit(1)) > hot).alias("often"),
     )
     several = several.where("a <> b or a2 <> b2 or a3 <> b3 or any")
     # Both sides read all columns and have the same filters, so that one exchange serves them.
     return dealt.join(several, "anchor").select(
-        "h", "h2", F.struct("anchor", "first", "n", "twice", "top").alias("place")
+        "h", "h2", F.struct("anchor", "first", "n", "often", "twice", "top").alias("place")
     )
 
 
@@ -204,7 +207,7 @@ def segments(texts: DataFrame, first: DataFrame, found: DataFrame, length: int)
         for batch in small_batches(batches, "text", BATCH_BYTES):
             for i in range(len(batch)):
                 text = unpack.decompress(batch.column(2)[i].as_py())
-                anchor, first, n, *_ = batch.column(3)[i].values.flatten()
+                anchor, first, n, often, *_ = batch.column(3)[i].values.flatten()
                 first, n = first.to_numpy(), n.to_numpy()
                 yield batch_of(
                     anchor=anchor,
@@ -213,9 +216,10 @@ def segments(texts: DataFrame, first: DataFrame, found: DataFrame, length: int)
                     first=first,
                     n=n,
                     bytes=[text[a : a + k + length - 1] for a, k in zip(first.tolist(), n.tolist())],
+                    often=often,
                 )
 
-    return joined.mapInArrow(run, SEGMENTS)
+    return joined.mapInArrow(run, FOUND)
 
 
 def first_of_equal(rows: DataFrame, length: int, salts: int) -> DataFrame:
@@ -303,19 +307,32 @@ def earlier_starts(rows: list[tuple], length: int) -> pa.RecordBatch:
 
 
 def later_runs(rows: DataFrame, length: int) -> DataFrame:
-    """Runs to remove, from what is left of each anchor."""
-    dealt = rows.repartition("anchor").sortWithinPartitions("anchor")
+    """Runs to remove, of the segments of each anchor.
+
+    Sorted by their bytes, copies of a segment follow it and go as a whole, without being held.
+    """
+    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "bytes", "doc", "h", "first")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         starts = 0
+        last, place = None, None
         for batch in batches:
+            copies = []
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if (row[0], row[5]) == last:
+                    # Rows that repeat a document give its segments again; others are later copies.
+                    if row[1:4] != place:
+                        copies.append((row[1], row[2], row[3], row[3] + row[4] + length - 1))
+                    continue
+                last, place = (row[0], row[5]), row[1:4]
                 if starts > TASK_STARTS and row[0] != held[-1][0]:
                     yield earlier_starts(held, length)
                     held, starts = [], 0
                 held.append(row)
                 starts += row[4]
+            if copies:
+                yield batch_of(**dict(zip(("doc", "h", "start", "stop"), zip(*copies))))
         if held:
             yield earlier_starts(held, length)
 
@@ -349,8 +366,9 @@ def remove_later_copies(
     docs = documents(docs, id_col, text_col)
     texts = compressed(docs)
     first = stage(identified(docs).groupBy("h", "h2").agg(F.min("doc").alias("doc")), "first-documents")
-    found = segments(texts, first, repeated(anchors(docs, length, gram)), length)
-    firsts = stage(first_of_equal(found, length, salts), "segments")
+    found = stage(segments(texts, first, repeated(anchors(docs, length, gram), hot), length), "found-segments")
+    seldom = found.where("NOT often").drop("often")
+    firsts = stage(first_of_equal(found.where("often").drop("often"), length, salts), "segments")
     copies = firsts.where("bytes is null").select("doc", "h", "start", "stop")
     left = firsts.where("bytes is not null").select(*[f.split()[0] for f in SEGMENTS.split(", ")])
     common = stage(left.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "hot-anchors")
@@ -358,7 +376,8 @@ def remove_later_copies(
         first_of_equal(single_starts(left.join(common, "anchor", "left_semi"), length), length, salts), "single-starts"
     )
     runs = (
-        copies.unionByName(later_runs(left.join(common, "anchor", "left_anti"), length))
+        later_runs(seldom, length).unionByName(copies)
+        .unionByName(later_runs(left.join(common, "anchor", "left_anti"), length))
         .unionByName(single.where("bytes is null").select("doc", "h", "start", "stop"))
         .unionByName(later_runs(single.where("bytes is not null").select(*left.columns), length))
     )

@@ -223,8 +223,9 @@ def prepared(turns: DataFrame, names: tuple[str, str, str, str], gone: Column) -
     )
     same = "PARTITION BY conv_id, role, text ORDER BY turn ASC NULLS FIRST"
     rows = rows.select("*", F.expr(f"row_number() OVER ({same}) > 1").alias("seen"))
+    # Of equal turns the one that none is seen before comes first.
     return rows.repartition("conv_id").sortWithinPartitions(
-        "conv_id", F.col("turn").asc_nulls_first(), "role", "text"
+        "conv_id", F.col("turn").asc_nulls_first(), "role", "text", "seen"
     )
 
 

@@ -128,7 +128,7 @@ def _inserted(rows: str) -> str:
 
 _LAST = "(SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)"
 
-ROLE_REPAIR = f"""
+ROLE_REPAIR = rf"""
 WITH RECURSIVE hashed AS (
     SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
            {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k
@@ -137,14 +137,16 @@ damaged AS (
     SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
            CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
     FROM hashed, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) WHERE k <> 0),
+marked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen
+    FROM damaged),
 turns AS (
-    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS i,
            left(role, 1) AS initial, lag(left(role, 1)) OVER
-               (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+               (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS before,
            NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
-           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen,
            NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open_end
-    FROM damaged),
+    FROM marked),
 judged AS (
     SELECT *, blank OR seen AS must_go, (NOT blank AND NOT seen AND open_end)::INT AS truncated FROM turns),
 steps AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
+BLOCK = 64
 _ENTRY = (1 << 31) - 1
 
 

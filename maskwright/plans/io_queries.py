@@ -11,7 +11,7 @@ from maskwright.operators.detect import detect
 from maskwright.operators.restore import restore_with_mapping
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
-from maskwright.plans.texts import CORPUS, LEAD, LEADS, corpus, leads, table
+from maskwright.plans.texts import CORPUS, LEAD, LEADS, corpus, leads, spread, table
 from maskwright.sources.staging import new_path
 from maskwright.sources.tables import read_csv, write_csv
 from maskwright.sources.vault import read_vault, write_masked
@@ -124,7 +124,8 @@ def run_write_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_stream_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of customers is masked into a table and a vault, which then restore each other."""
-    stream = _read_stream(spark, sf_dir, "customer").selectExpr(
+    customers = _read_stream(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    stream = spread(customers).selectExpr(
         "c_custkey AS id", "c_mktsegment AS segment", f"{LEAD} AS t"
     )
     masked_path, vault_path = new_path(spark, "masked"), new_path(spark, "vault")

@@ -62,8 +62,8 @@ _NONE = "cast(array() AS array<string>)"
 def _part(place: str) -> str:
     """The part of a text that a category is looked for in; null where it cannot be."""
     if place == "chains":
-        chains = f"array_join(regexp_extract_all(text, {literal(CHAIN)}, 0), '{CHAIN_BREAK}')"
-        return f"nullif({chains}, '')"
+        # Nothing matches in an empty text; nullif would join the chains twice.
+        return f"array_join(regexp_extract_all(text, {literal(CHAIN)}, 0), '{CHAIN_BREAK}')"
     test = {
         "around_at": "contains(text, '@')",
         "scheme": "contains(text, '://')",
@@ -72,12 +72,27 @@ def _part(place: str) -> str:
     return f"CASE WHEN {test} THEN text END"
 
 
+def _valid(category: Category, part: str) -> str:
+    found = f"regexp_extract_all({part}, {literal(category.regex)}, 0)"
+    return f"filter({found}, m -> {_CHECKS[category.name]('m')})" if category.name in _CHECKS else found
+
+
 def _matches(category: Category) -> str:
     """Valid matches of a category in ``text``; null for no text."""
-    found = f"regexp_extract_all(p, {literal(category.regex)}, 0)"
-    if category.name in _CHECKS:
-        found = f"filter({found}, m -> {_CHECKS[category.name]('m')})"
-    return f"CASE WHEN text IS NOT NULL THEN coalesce({_bound(_part(category.place), 'p', found)}, {_NONE}) END"
+    found = _bound(_part(category.place), "p", _valid(category, "p"))
+    return f"CASE WHEN text IS NOT NULL THEN coalesce({found}, {_NONE}) END"
+
+
+def _all_matches() -> str:
+    """The same of every category, as one array; each part of the text is made once."""
+    places = dict.fromkeys(c.place for c in CATEGORIES)
+    parts = "named_struct(" + ", ".join(f"'{place}', {_part(place)}" for place in places) + ")"
+    found = ", ".join(
+        f"named_struct('ord', {c.order}, 'category', '{c.name}', 'found', CASE WHEN text IS NOT NULL THEN "
+        f"coalesce({_valid(c, f'p.{c.place}')}, {_NONE}) END)"
+        for c in CATEGORIES
+    )
+    return _bound(parts, "p", f"array({found})")
 
 
 _PAIRS = "array<struct<placeholder:string,original:string>>"
@@ -91,21 +106,16 @@ def definitions() -> dict[str, str]:
     }
     for c in CATEGORIES:
         out[f"pii_{c.name.lower()}"] = f"(text string) RETURNS array<string> RETURN {_matches(c)}"
-    found = ", ".join(
-        f"named_struct('ord', {c.order}, 'category', '{c.name}', 'found', {_matches(c)})" for c in CATEGORIES
-    )
     record = "named_struct('ord', c.ord, 'category', c.category, 'nth', i + 1, 'raw', m)"
+    listed = f"flatten(transform({_all_matches()}, c -> transform(c.found, (m, i) -> {record})))"
     out["pii_found"] = (
-        "(text string) RETURNS array<struct<ord:int,category:string,nth:int,raw:string>> RETURN "
-        f"flatten(transform(array({found}), c -> transform(c.found, (m, i) -> {record})))"
+        f"(text string) RETURNS array<struct<ord:int,category:string,nth:int,raw:string>> RETURN {listed}"
     )
-    # As a table, to be used laterally: FROM t, LATERAL pii_hits(t.text) h. Spark calls it once for each
-    # different text and joins the answers by the text; SELECT inline(f) FROM (SELECT pii_found(text) f ...)
-    # moves nothing.
+    # As a table, to be used laterally: FROM t, LATERAL pii_hits(t.text) h. Its body is a generator over
+    # no table, which Spark applies to each row of t: no text is shuffled, compared or joined.
     out["pii_hits"] = (
         "(text string) RETURNS TABLE (ord int, category string, nth int, raw string) RETURN "
-        f"SELECT c.ord, c.category, m.place + 1, m.raw FROM (SELECT inline(array({found}))) AS c "
-        "LATERAL VIEW posexplode(c.found) m AS place, raw"
+        f"SELECT inline({listed})"
     )
     out["pii_placeholders"] = (
         "(text string) RETURNS array<string> RETURN "

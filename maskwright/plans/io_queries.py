@@ -284,10 +284,12 @@ def run_sql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One half of the corpus through the table function, the other through the function of arrays."""
     register_functions(spark)
     corpus(spark, sf_dir).createOrReplaceTempView("corpus_texts")
+    # Spark tests a generator's column for its size below all that makes it, and so matches twice; an
+    # expression it does not test.
     return spark.sql(
         "SELECT c.src, c.id, h.ord, h.category, cast(h.nth AS bigint) AS nth, h.raw "
         "FROM (SELECT * FROM corpus_texts WHERE src <> 'visits') c, LATERAL pii_hits(c.t) h UNION ALL "
-        "SELECT src, id, ord, category, cast(nth AS bigint), raw FROM (SELECT src, id, inline(f) "
+        "SELECT src, id, ord, category, cast(nth AS bigint), raw FROM (SELECT src, id, inline(filter(f, h -> true)) "
         "FROM (SELECT src, id, pii_found(t) AS f FROM corpus_texts WHERE src = 'visits'))"
     )
 

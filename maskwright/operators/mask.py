@@ -93,6 +93,20 @@ def mask(
     return out.drop(*[c for c in out.columns if c.startswith("__mw_")])
 
 
+def with_mapping_id(
+    df: DataFrame,
+    text: str | Column = "text",
+    key: list[str] | None = None,
+    workspace: str | Column | None = None,
+    output_field: str = "mapping_id",
+    on_error: str = "fail",
+) -> DataFrame:
+    """Add the mapping id that :func:`mask` gives a row, without matching its text."""
+    output = rows.mapping_id(rows.workspace(workspace), key, text)
+    problems = [(~rows.is_filled(rows.as_column(text)), rows.MASK_TEXT_EMPTY)]
+    return rows.emit(df, output_field, output, problems, on_error, key)
+
+
 def vault_rows(
     df: DataFrame,
     text: str | Column = "text",

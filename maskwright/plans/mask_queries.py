@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from maskwright.functions import rows
 from maskwright.functions.placeholders import preexisting_placeholder
 from maskwright.operators.detect import detect_counts
-from maskwright.operators.mask import mask, mask_entities
+from maskwright.operators.mask import mask, mask_entities, with_mapping_id
 from maskwright.plans import oracle as o
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEAD, corpus, documents, spread, table
@@ -122,7 +122,7 @@ def run_public_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mapping_id", f"SELECT src, id, {CORPUS_ID} AS mapping_id FROM ({CORPUS})")
 def run_mapping_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _masked(spark, sf_dir).select("src", "id", "masked.mapping_id")
+    return with_mapping_id(corpus(spark, sf_dir), "t", ["src", "id"]).select("src", "id", "mapping_id")
 
 
 @query(

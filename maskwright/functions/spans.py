@@ -19,6 +19,9 @@ TEXT = "__mw_text"
 
 _MARK = "\uE000"
 
+# Up to this many matches of a category are looked for one by one.
+LOCATED = 8
+
 
 def match_column(category: Category) -> str:
     return f"__mw_{category.name.lower()}"
@@ -87,8 +90,26 @@ def _placed(search: Column) -> Column:
     )
 
 
+def _located(text: Column, category: Category, matches: Column) -> Column:
+    """Valid hits of one category, by looking for each match as a plain string in the text."""
+    return F.transform(
+        category.keep_valid(matches),
+        lambda m: F.struct(
+            (F.position(m, text) - 1).alias("start"),
+            F.lit(category.order).alias("ord"),
+            F.lit(category.name).alias("category"),
+            m.alias("raw"),
+            (F.position(m, text) - 1 + F.length(m)).alias("end"),
+        ).cast(HIT_TYPE),
+    )
+
+
 def hits_in_order(text: Column, categories=None) -> Column:
-    """Valid hits of all categories by start; those that start together keep catalogue order."""
+    """Valid hits of all categories by start; those that start together keep catalogue order.
+
+    A match that the text holds once stands there, which costs less to find than a second pass of the
+    expression. That reads the text for each match, so it is done where there are few.
+    """
     cats = wanted(categories)
     empty = F.array().cast(f"array<{HIT_TYPE}>")
     if not cats:
@@ -99,27 +120,28 @@ def hits_in_order(text: Column, categories=None) -> Column:
         any_valid = (
             F.size(matches) > 0 if category.check is None else F.exists(matches, category.check)
         )
-        return F.when(
-            any_valid,
-            F.struct(
-                F.lit(category.order).alias("ord"),
-                F.lit(category.name).alias("category"),
-                matches.alias("matches"),
-                _gaps(text, category).alias("gaps"),
-            ),
+        # Broken UTF-8 is mended in a match, which is then not found.
+        unclear = F.exists(
+            matches,
+            lambda m: (F.position(m, text) == 0) | (F.position(m, text, F.position(m, text) + 1) > 0),
         )
+        several = (F.size(matches) > LOCATED) | unclear
+        gaps = F.struct(
+            F.lit(category.order).alias("ord"),
+            F.lit(category.name).alias("category"),
+            matches.alias("matches"),
+            _gaps(text, category).alias("gaps"),
+        )
+        placed = bind(gaps, _placed)
+        if category.check is not None:
+            placed = F.filter(placed, lambda h: category.check(h["raw"]))
+        return F.when(
+            any_valid, F.when(several, placed).otherwise(_located(text, category, matches))
+        ).otherwise(empty)
 
-    def valid(hit: Column) -> Column:
-        answer = F.lit(True)
-        for c in cats:
-            if c.check is not None:
-                answer = F.when(hit["ord"] == c.order, c.check(hit["raw"])).otherwise(answer)
-        return answer
-
-    searches = F.filter(F.array(*[search(c) for c in cats]), lambda s: s.isNotNull())
-    found = F.filter(F.flatten(F.transform(searches, _placed)), valid)
+    found = F.flatten(F.array(*[search(c) for c in cats]))
     any_match = sum((F.size(match_column(c)) for c in cats), F.lit(0)) > 0
-    return F.when(any_match, F.array_sort(found)).otherwise(empty)
+    return F.when(any_match, F.sort_array(found)).otherwise(empty)
 
 
 def without_overlaps(hits: Column) -> Column:

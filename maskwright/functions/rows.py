@@ -50,7 +50,8 @@ def mapping_id(
     if not key:
         return F.expr("uuid()")
     named = [as_column(k).alias(f"k{i}") for i, k in enumerate(key)]
-    body = F.sha2(as_column(text).cast("binary"), 256).alias("t")
+    # A null text is told apart from an empty one.
+    body = F.coalesce(F.sha2(as_column(text).cast("binary"), 256), F.lit("")).alias("t")
     return F.sha2(F.to_json(F.struct(workspace_.alias("w"), *named, body)), 256)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from maskwright.functions.catalogue import CATEGORIES
 from maskwright.functions.checksums import inn_valid, luhn_valid
+from maskwright.functions.rows import SOURCE
 from maskwright.operators.detect import (
     detect,
     detect_counts,
@@ -20,13 +21,17 @@ from maskwright.plans.texts import CORPUS, corpus, documents, table
 
 KEYS = "src, id"
 
+# The given tables may hold rows without a text. They count as read and have no hits, as in the SQL; a
+# run over millions of texts does not end for one of them.
+KEEP = "keep"
+
 
 def _register_category(name: str) -> None:
     ctes = o.found(KEYS, CORPUS, [name])
 
     @query(f"hit_{name.lower()}", o.with_(ctes, 'SELECT src, id, start, stop AS "end", raw FROM hit'))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = hits_long(corpus(spark, sf_dir), "t", [name])
+        found = hits_long(corpus(spark, sf_dir), "t", [name], KEEP)
         return found.select(
             "src",
             "id",
@@ -81,7 +86,7 @@ def run_luhn_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_hits_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = hits_long(corpus(spark, sf_dir), "t")
+    found = hits_long(corpus(spark, sf_dir), "t", on_error=KEEP)
     return found.select(
         "src",
         "id",
@@ -102,7 +107,7 @@ def run_hits_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_category_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower case is accepted; NAME and IBAN are, too, and never hit."""
     counts = detect_counts(
-        corpus(spark, sf_dir), ["src", "id"], "t", ["snils", "Email", "IBAN", "NAME"]
+        corpus(spark, sf_dir), ["src", "id"], "t", ["snils", "Email", "IBAN", "NAME"], KEEP
     )
     return counts.groupBy("src", "category").agg(F.sum("hits").alias("hits"))
 
@@ -116,7 +121,7 @@ def run_category_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = hits(corpus(spark, sf_dir), "t").where(F.size("hits") > 0)
+    ordered = hits(corpus(spark, sf_dir), "t", on_error=KEEP).where(F.size("hits") > 0)
     return ordered.select(
         "src",
         "id",
@@ -134,7 +139,7 @@ def run_order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_detect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect_counts(corpus(spark, sf_dir), ["src", "id"], "t")
+    return detect_counts(corpus(spark, sf_dir), ["src", "id"], "t", on_error=KEEP)
 
 
 @query(
@@ -146,7 +151,7 @@ def run_detect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_detect_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect_samples(corpus(spark, sf_dir), ["src", "id"], "t")
+    return detect_samples(corpus(spark, sf_dir), ["src", "id"], "t", on_error=KEEP)
 
 
 def _found_text(samples: bool) -> str:
@@ -167,6 +172,7 @@ def _detect_sql(samples: bool) -> str:
 
 
 def _flat(df: DataFrame) -> DataFrame:
+    """Rows without a text have nothing."""
     shown = F.transform(
         "pii.found_pii",
         lambda f: F.concat(
@@ -177,20 +183,20 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select(
         "src",
         "id",
-        F.array_join(shown, "; ").alias("found_pii"),
-        F.col("pii.total_count").cast("bigint").alias("total_count"),
-        F.col("pii.source").alias("origin"),
+        F.coalesce(F.array_join(shown, "; "), F.lit("")).alias("found_pii"),
+        F.coalesce(F.col("pii.total_count"), F.lit(0)).cast("bigint").alias("total_count"),
+        F.coalesce(F.col("pii.source"), F.lit(SOURCE)).alias("origin"),
     )
 
 
 @query("detect", _detect_sql(samples=True))
 def run_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(corpus(spark, sf_dir), "t"))
+    return _flat(detect(corpus(spark, sf_dir), "t", on_error=KEEP))
 
 
 @query("suppress_samples", _detect_sql(samples=False))
 def run_suppress_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(corpus(spark, sf_dir), "t", include_samples=False))
+    return _flat(detect(corpus(spark, sf_dir), "t", include_samples=False, on_error=KEEP))
 
 
 _FLAGSHIP = "SELECT doc_id AS id, text AS t FROM documents"
@@ -204,7 +210,7 @@ _FLAGSHIP = "SELECT doc_id AS id, text AS t FROM documents"
     ),
 )
 def run_detect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect_counts(documents(spark, sf_dir), ["doc_id"], "text", ["EMAIL", "CARD", "IP"])
+    return detect_counts(documents(spark, sf_dir), ["doc_id"], "text", ["EMAIL", "CARD", "IP"], KEEP)
 
 
 
@@ -217,4 +223,4 @@ def run_detect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_detect_documents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect_counts(documents(spark, sf_dir), ["doc_id"], "text")
+    return detect_counts(documents(spark, sf_dir), ["doc_id"], "text", on_error=KEEP)

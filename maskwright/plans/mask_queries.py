@@ -25,8 +25,22 @@ CORPUS_ID = (
 )
 
 
+def masked_or_empty(df: DataFrame, text: str, key: list[str], **options) -> DataFrame:
+    """:func:`mask` over rows of which some have no text, as the SQL has it: nothing to mask in them,
+    and an id and tags as for all others. Where there is a text, nothing but its masked form counts."""
+    out = mask(df, text, key, on_error="keep", **options).drop("error")
+    nothing = F.struct(
+        F.when(F.col(text) == "", F.lit("")).alias("masked_text"),
+        rows.mapping_id(rows.workspace(None), key, text).alias("mapping_id"),
+        F.array().alias("entities"),
+        F.lit(options.get("policy", "balanced")).alias("policy"),
+        F.lit(rows.SOURCE).alias("source"),
+    ).cast(out.schema["masked"].dataType)
+    return out.withColumn("masked", F.when(rows.is_filled(F.col(text)), F.col("masked")).otherwise(nothing))
+
+
 def _masked(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return mask(corpus(spark, sf_dir), "t", ["src", "id"], **options)
+    return masked_or_empty(corpus(spark, sf_dir), "t", ["src", "id"], **options)
 
 
 def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +90,7 @@ def run_mask_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_mask_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows_ = mask_entities(corpus(spark, sf_dir), "t", ["src", "id"])
+    rows_ = mask_entities(corpus(spark, sf_dir), "t", ["src", "id"], on_error="keep")
     return rows_.withColumns(
         {"start": F.col("start").cast("bigint"), "end": F.col("end").cast("bigint")}
     )
@@ -122,7 +136,10 @@ def run_public_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mapping_id", f"SELECT src, id, {CORPUS_ID} AS mapping_id FROM ({CORPUS})")
 def run_mapping_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_mapping_id(corpus(spark, sf_dir), "t", ["src", "id"]).select("src", "id", "mapping_id")
+    """A row without a text has an id, too."""
+    ids = with_mapping_id(corpus(spark, sf_dir), "t", ["src", "id"], on_error="keep")
+    own = rows.mapping_id(rows.workspace(None), ["src", "id"], "t")
+    return ids.select("src", "id", F.coalesce("mapping_id", own).alias("mapping_id"))
 
 
 @query(
@@ -306,4 +323,5 @@ def run_preexisting_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_mask_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mask(documents(spark, sf_dir), "text", ["doc_id"]).select("doc_id", "masked.masked_text")
+    masked = masked_or_empty(documents(spark, sf_dir), "text", ["doc_id"])
+    return masked.select("doc_id", "masked.masked_text")

@@ -15,13 +15,13 @@ from maskwright.operators.audit import (
 )
 from maskwright.operators.mask import (
     mapping_rows,
-    mask,
     mask_with_vault,
     take_apart,
     vault_rows,
 )
 from maskwright.operators.restore import grouped_mapping, restore, restore_with_mapping
 from maskwright.plans import oracle as o
+from maskwright.plans.mask_queries import masked_or_empty
 from maskwright.plans.registry import query
 from maskwright.plans.texts import CORPUS, LEADS, VISITS, corpus, leads, table, visits
 from maskwright.sources.bucketed import orphan_rows, restore_tables, unused_rows, write_masked_tables
@@ -36,8 +36,8 @@ REPLY = "concat('re: ', {0}, ' again ', {0}, ' <PHONE_999> <EMAIL_002> <PHONE_99
 
 
 def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = mask(corpus(spark, sf_dir), "t", ["src", "id"], entities_field="entities")
-    return masked.withColumn("reply", F.expr(REPLY.format("masked.masked_text")))
+    masked = masked_or_empty(corpus(spark, sf_dir), "t", ["src", "id"], entities_field="entities")
+    return masked.withColumn("reply", F.expr(REPLY.format("coalesce(masked.masked_text, '')")))
 
 
 # The same, from the unmasked text: placeholders of a row's own list come back as values.
